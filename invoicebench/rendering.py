@@ -233,14 +233,17 @@ def lines_sql(dialect: str) -> str:
 def rendered_pages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """The page texts, lazily. On content pages a header comes first and a page footer last."""
     spark = orders.sparkSession
+    lines = spark.sql(lines_sql("spark"), orders=orders, lineitem=lineitem)
+    # As many parts as there are cores, at least: the number is also the number of files when written.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = f"""
         select invoice_id, page_num,
             concat(if(page_num % 3 = 1, concat('Rechnung ', cast(2023 + page_num % 5 as string), '\\r\\n \\n'), ''),
                    array_join(transform(sort_array(collect_list(struct(pos, place, n1, n2, n3, line, copy))),
                                         l -> l.line), '\\n'),
                    if(page_num % 3 = 1, concat('\\n\\n Seite ', cast(page_num as string)), '')) as text
-        from ({lines_sql('spark')}) group by invoice_id, page_num"""
-    return as_pages(spark.sql(text, orders=orders, lineitem=lineitem))
+        from {{lines}} group by invoice_id, page_num"""
+    return as_pages(spark.sql(text, lines=lines.repartition(parts, "invoice_id", "page_num")))
 
 
 _written: dict[tuple[str, str], str] = {}

@@ -6,12 +6,17 @@ regex engines and Java versions. Digits are the ASCII digits.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from functools import reduce
+from operator import or_
 
-# Unicode blanks, as characters of a class: with and without the line feed.
-_BLANK_NO_LF = r"\t\x0b\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-BLANK = rf"[\n{_BLANK_NO_LF}]"
-BLANK_NO_LF = rf"[{_BLANK_NO_LF}]"
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Unicode blanks: as characters and as a regex class.
+BLANKS = (
+    "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+BLANK = r"[\t\n\x0b\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Word boundaries next to a token, and the boundary in either direction.
 _WORD = r"[\p{L}\p{N}_]"
@@ -27,23 +32,40 @@ COST_ROW = rf"[0-9]+[,.][0-9]{{2}}{BLANK}+[0-9]+[,.][0-9]{{2}}"
 
 def strip(text: Column) -> Column:
     """Remove blanks at both ends, non-breaking and other Unicode blanks included."""
-    return F.regexp_replace(text, rf"^{BLANK}++|(?<!{BLANK}){BLANK}++$", "")
+    return F.btrim(text, F.lit(BLANKS))
+
+
+def fold_case(text: Column) -> Column:
+    """Lower case for comparisons that ignore case; the long s counts as s."""
+    return F.translate(F.lower(text), "ſ", "s")
+
+
+def lines_of(text: Column) -> Column:
+    """Trimmed lines of a text as an array, without blank ones."""
+    return F.filter(F.transform(F.split(text, "\n"), strip), lambda line: line != "")
+
+
+def contains_any(text: Column, words: list[str]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
+
 
+def rows_of(exploded: DataFrame) -> DataFrame:
+    """Rows of a `posexplode_outer`, without those of empty arrays.
 
-def tidy_lines(text: Column) -> Column:
-    """Trim every line of a text and drop blank lines; lines stay joined by a line feed."""
-    joined = F.regexp_replace(text, rf"(?<!{BLANK}){BLANK_NO_LF}*+\n{BLANK}*+", "\n")
-    return strip(joined)
+    For a plain explode Catalyst adds a filter on the array size and pushes it down to the scan, where it
+    computes the whole array, regexes and UDFs included, a second time.
+    """
+    return exploded.filter(F.col("pos").isNotNull())
 
 
-def lines_of(tidy: Column) -> Column:
-    """Lines of a tidied text as an array, empty for an empty text."""
-    return F.filter(F.split(tidy, "\n"), lambda line: line != "")
+def bind(value: Column, function) -> Column:
+    """`function(value)` with the value computed once, also inside of lambda functions."""
+    return F.get(F.transform(F.array(value), function), F.lit(0))
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """First match of a group, or null where there is none (or an empty one)."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return bind(F.regexp_extract(text, pattern, group), lambda match: F.when(match != "", match))
 
 
 def all_found(text: Column, pattern: str, group: int = 0) -> Column:

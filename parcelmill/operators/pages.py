@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from parcelmill.functions import patterns as p
 from parcelmill.functions.dictionaries import HEADER_WORDS
 
-NOISE = rf"(?iu)(?:{'|'.join(HEADER_WORDS)}|(?:Seite|Page){p.BLANK}+[0-9]+)"
+# Page footers, in lower case.
+FOOTER = rf"(?:seite|page){p.BLANK}+[0-9]"
 YEAR = rf"{p.NOT_AFTER_WORD}(20[0-9]{{2}}){p.NOT_BEFORE_WORD}"
 
 # Pages of an invoice are handled in chunks of this many page numbers, so that an invoice of any length
@@ -25,15 +26,17 @@ def has_tracking(text: Column) -> Column:
     return F.rlike(text, F.lit(p.TRACKING))
 
 
-def is_noise(line: Column) -> Column:
-    return F.rlike(line, F.lit(NOISE))
+def is_noise(low: Column) -> Column:
+    """Whether a line, given in folded case, is a page header or footer."""
+    header = p.contains_any(low, [word.lower() for word in HEADER_WORDS])
+    return header | (p.contains_any(low, ["seite", "page"]) & F.rlike(low, F.lit(FOOTER)))
 
 
 def page_lines(pages: DataFrame) -> DataFrame:
     """Trimmed non-blank lines of every page, numbered from 1, with their noise and start flags."""
-    lines = p.lines_of(p.tidy_lines(F.col("text")))
-    exploded = pages.select("invoice_id", "page_num", F.posexplode(lines).alias("pos", "line"))
-    noise = is_noise(F.col("line"))
+    lines = p.lines_of(F.col("text"))
+    exploded = p.rows_of(pages.select("invoice_id", "page_num", F.posexplode_outer(lines).alias("pos", "line")))
+    noise = is_noise(p.fold_case(F.col("line")))
     return exploded.select(
         "invoice_id",
         "page_num",

@@ -27,8 +27,10 @@ _STARTS_HERE = rf"^[^\n]*{p.TRACKING}"
 
 
 def _kept_text(text: Column) -> Column:
-    kept = F.filter(p.lines_of(p.tidy_lines(text)), lambda line: ~is_noise(line))
-    return F.array_join(kept, "\n")
+    lines = F.transform(
+        p.lines_of(text), lambda line: F.struct(line.alias("line"), p.fold_case(line).alias("low"))
+    )
+    return F.array_join(F.filter(lines, lambda one: ~is_noise(one["low"]))["line"], "\n")
 
 
 def _started_blocks(pages: DataFrame) -> DataFrame:
@@ -63,19 +65,21 @@ def segment(pages: DataFrame) -> DataFrame:
     """Shipment blocks: (invoice_id, invoice_page, page_block, text), lines joined by a line feed."""
     started = _started_blocks(pages)
 
-    inner = started.select(
-        "invoice_id",
-        F.col("page_num").alias("invoice_page"),
-        F.posexplode(F.slice("started", F.lit(1), F.greatest(F.size("started") - 1, F.lit(0)))).alias("pos", "text"),
+    but_last = F.slice("started", F.lit(1), F.greatest(F.size("started") - 1, F.lit(0)))
+    inner = p.rows_of(
+        started.select(
+            "invoice_id",
+            F.col("page_num").alias("invoice_page"),
+            F.posexplode_outer(but_last).alias("pos", "text"),
+        )
     ).select("invoice_id", "invoice_page", (F.col("pos") + 1).alias("page_block"), "text")
 
-    last = started.select(
-        "invoice_id",
-        F.col("page_num").alias("home_page"),
-        "page_num",
-        F.size("started").alias("page_block"),
-        F.explode(F.slice("started", F.lit(-1), F.lit(1))).alias("text"),
-    )
+    only_last = F.slice("started", F.lit(-1), F.lit(1))
+    last = p.rows_of(
+        started.select(
+            "invoice_id", "page_num", F.size("started").alias("page_block"), F.posexplode_outer(only_last).alias("pos", "text")
+        )
+    ).select("invoice_id", F.col("page_num").alias("home_page"), "page_num", "page_block", "text")
     continued = (
         pages.filter(~has_tracking(F.col("text")))
         .select("invoice_id", "page_num", _kept_text(F.col("text")).alias("text"))
