@@ -9,7 +9,7 @@ from parcelmill.functions.dictionaries import HEADER_WORDS
 
 # Page footers, in lower case.
 FOOTER = rf"(?:seite|page){p.BLANK}+[0-9]"
-YEAR = rf"{p.NOT_AFTER_WORD}(20[0-9]{{2}}){p.NOT_BEFORE_WORD}"
+YEAR = rf"{p.word_start('20')}(20[0-9]{{2}}){p.NOT_BEFORE_WORD}"
 
 # Pages of an invoice are handled in chunks of this many page numbers, so that an invoice of any length
 # spreads over many tasks: a window over the pages of a chunk holds at most this many rows, and a window

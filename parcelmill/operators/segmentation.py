@@ -4,10 +4,13 @@ A line with a tracking number starts a block, noise lines are dropped, and a blo
 that follow until one of them holds a tracking number anywhere. A block is therefore known from its own
 page, except that the last block of a page may be continued by the pages after it. The plan follows this:
 
-* all blocks but the last of a page come straight out of the scan, without a shuffle;
-* pages without a tracking number look up the last page before them that has one ("home"), over page flags
-  only, in chunks of page numbers, so that one very long invoice spreads over many tasks;
-* last blocks and continuation pages meet by (invoice_id, home page) and are joined in page order.
+* a page with a tracking number is cut into its blocks where it is read, whatever its invoice;
+* pages without one look up the last page before them that has one ("home"), over page flags only, in chunks
+  of page numbers, so that one very long invoice spreads over many tasks;
+* their lines are gathered per home page and joined to its last block. The join key (invoice_id, page_num)
+  is unique, so no invoice is a hot key, and Spark broadcasts the gathered lines by itself where they are few.
+
+Only the lines of one block ever meet in one task: a block is one record, and its text one cell.
 
 The key of a block is (invoice_id, invoice_page, page_block): the page of its start line and its ordinal
 among the blocks that start there. It sorts in document order.
@@ -61,40 +64,22 @@ def continuation_pages(pages: DataFrame) -> DataFrame:
     return homed.select("invoice_id", "page_num", home.alias("home_page")).filter("home_page is not null")
 
 
+def _tails(pages: DataFrame) -> DataFrame:
+    """(invoice_id, page_num, tail): what the pages after a home page add to its last block."""
+    continued = pages.filter(~has_tracking(F.col("text"))).select(
+        "invoice_id", "page_num", _kept_text(F.col("text")).alias("text")
+    )
+    parts = continued.join(continuation_pages(pages), ["invoice_id", "page_num"]).groupBy("invoice_id", "home_page")
+    joined = parts.agg(F.sort_array(F.collect_list(F.struct("page_num", "text")))["text"].alias("texts"))
+    tail = F.array_join(F.array_remove("texts", ""), "\n")
+    return joined.select("invoice_id", F.col("home_page").alias("page_num"), tail.alias("tail"))
+
+
 def segment(pages: DataFrame) -> DataFrame:
     """Shipment blocks: (invoice_id, invoice_page, page_block, text), lines joined by a line feed."""
-    started = _started_blocks(pages)
-
-    but_last = F.slice("started", F.lit(1), F.greatest(F.size("started") - 1, F.lit(0)))
-    inner = p.rows_of(
-        started.select(
-            "invoice_id",
-            F.col("page_num").alias("invoice_page"),
-            F.posexplode_outer(but_last).alias("pos", "text"),
-        )
-    ).select("invoice_id", "invoice_page", (F.col("pos") + 1).alias("page_block"), "text")
-
-    only_last = F.slice("started", F.lit(-1), F.lit(1))
-    last = p.rows_of(
-        started.select(
-            "invoice_id", "page_num", F.size("started").alias("page_block"), F.posexplode_outer(only_last).alias("pos", "text")
-        )
-    ).select("invoice_id", F.col("page_num").alias("home_page"), "page_num", "page_block", "text")
-    continued = (
-        pages.filter(~has_tracking(F.col("text")))
-        .select("invoice_id", "page_num", _kept_text(F.col("text")).alias("text"))
-        .join(continuation_pages(pages), ["invoice_id", "page_num"])
-        .select("invoice_id", "home_page", "page_num", F.lit(None).cast("int").alias("page_block"), "text")
-    )
-    parts = last.unionByName(continued).groupBy("invoice_id", "home_page")
-    whole = parts.agg(
-        F.max("page_block").alias("page_block"),
-        F.sort_array(F.collect_list(F.struct("page_num", "text"))).alias("parts"),
-    ).filter("page_block is not null")
-    outer = whole.select(
-        "invoice_id",
-        F.col("home_page").alias("invoice_page"),
-        "page_block",
-        F.array_join(F.array_remove(F.col("parts")["text"], ""), "\n").alias("text"),
-    )
-    return inner.unionByName(outer)
+    joined = _started_blocks(pages).join(_tails(pages), ["invoice_id", "page_num"], "left")
+    but_last = F.slice("started", F.lit(1), F.size("started") - 1)
+    continued = F.concat(but_last, F.array(F.concat(F.element_at("started", -1), F.lit("\n"), "tail")))
+    whole = F.when((F.size("started") > 0) & (F.col("tail") != ""), continued).otherwise(F.col("started"))
+    rows = p.rows_of(joined.select("invoice_id", "page_num", F.posexplode_outer(whole).alias("pos", "text")))
+    return rows.select("invoice_id", F.col("page_num").alias("invoice_page"), (F.col("pos") + 1).alias("page_block"), "text")
