@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelmill.sources.pages import as_pages, read_pages
 
-NBSP = " "
+NBSP = "\u00a0"
 
 
 def big(x: str) -> str:

@@ -43,7 +43,7 @@ def strip(text: Column) -> Column:
 
 def fold_case(text: Column) -> Column:
     """Lower case for comparisons that ignore case; the long s counts as s."""
-    return F.translate(F.lower(text), "ſ", "s")
+    return F.replace(F.lower(text), F.lit("ſ"), F.lit("s"))
 
 
 def lines_of(text: Column) -> Column:

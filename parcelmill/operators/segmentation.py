@@ -45,17 +45,15 @@ def _started_blocks(pages: DataFrame) -> DataFrame:
 
 def continuation_pages(pages: DataFrame) -> DataFrame:
     """(invoice_id, page_num, home_page) of the pages without a tracking number after one with one."""
-    flags = page_tracking(pages).select(
-        "invoice_id",
-        "page_num",
-        "has_tracking",
-        F.when(F.col("has_tracking"), F.col("page_num")).alias("tracking_page"),
-        chunk_of(F.col("page_num")).alias("page_chunk"),
-    )
+    keyed = page_tracking(pages).withColumn("page_chunk", chunk_of(F.col("page_num")))
+    # Both uses of the flags below read this one exchange, so the texts are scanned for them only once. The
+    # filter is the one that the join would add to either use.
+    flags = keyed.filter("invoice_id is not null and page_chunk is not null").repartition("invoice_id", "page_chunk")
+    tracking_page = F.when(F.col("has_tracking"), F.col("page_num"))
     in_chunk = Window.partitionBy("invoice_id", "page_chunk").orderBy("page_num").rowsBetween(Window.unboundedPreceding, 0)
-    near = flags.withColumn("near_home", F.last("tracking_page", ignorenulls=True).over(in_chunk))
+    near = flags.withColumn("near_home", F.last(tracking_page, ignorenulls=True).over(in_chunk))
 
-    chunks = flags.groupBy("invoice_id", "page_chunk").agg(F.max("tracking_page").alias("chunk_last"))
+    chunks = flags.groupBy("invoice_id", "page_chunk").agg(F.max(tracking_page).alias("chunk_last"))
     before = Window.partitionBy("invoice_id").orderBy("page_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.select("invoice_id", "page_chunk", F.max("chunk_last").over(before).alias("far_home"))
 

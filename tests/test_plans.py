@@ -1,0 +1,71 @@
+"""Properties of the physical plans that have to hold at any size."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+import parcelmill as pm
+from invoicebench import rendering
+
+SF = "/root/testdata/sf0.001"
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def plan(df, final=False):
+    if final:
+        df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    for key, value in NO_BROADCAST.items():
+        spark.conf.set(key, value)
+    yield
+    for key in NO_BROADCAST:
+        spark.conf.unset(key)
+
+
+def test_no_query_pairs_rows_without_a_key(spark):
+    for name, query in entry.queries().items():
+        assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(query(spark, SF))), name
+
+
+def test_scans_read_only_the_columns_they_need(spark):
+    pages = rendering.pages(spark, SF)
+    scan = plan(pm.segment(pages).select("invoice_id"))
+    assert set(re.findall(r"ReadSchema: struct<(.*?)>", scan)) == {"invoice_id:string,page_num:int,text:string"}
+    generic = plan(entry.queries()["identifiers_generic"](spark, SF))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in generic
+
+
+def test_windows_run_over_flags_in_chunks_or_over_chunks(spark):
+    text = plan(pm.extract_shipments(rendering.pages(spark, SF)))
+    windows = re.findall(r"Window \[.*", text)
+    assert windows
+    for window in windows:
+        by_invoice_only = re.search(r"windowspecdefinition\(invoice_id#\d+, (?!page_chunk)", window)
+        assert not by_invoice_only or "chunk_last" in window or "year" in window, window
+        assert "text#" not in window, window
+
+
+def test_page_texts_are_parsed_once_and_flags_share_an_exchange(spark, no_broadcast):
+    text = plan(pm.segment(rendering.pages(spark, SF)), final=True)
+    assert text.count("ReusedExchange") == 1
+    assert text.count("FileScan") == 3
+
+
+def test_results_do_not_depend_on_broadcasts(spark, no_broadcast):
+    pages = rendering.pages(spark, SF)
+    shuffled = sorted(map(tuple, pm.segment(pages).collect()))
+    for key in NO_BROADCAST:
+        spark.conf.unset(key)
+    assert shuffled == sorted(map(tuple, pm.segment(pages).collect()))
+
+
+def test_field_operators_need_no_shuffle(spark):
+    documents = rendering.table(spark, SF, "documents").select("doc_id", "text")
+    for operator in (pm.with_identifier, pm.with_service, pm.with_locations, pm.with_weights, pm.cost_items):
+        assert "Exchange" not in plan(operator(documents)), operator.__name__
