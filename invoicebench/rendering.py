@@ -15,9 +15,8 @@ numbers 1, 4, 7, ...; the two page numbers after one are for what the last block
 
 from __future__ import annotations
 
-import os
 import tempfile
-from urllib.parse import urlparse
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -267,8 +266,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rendered pages of the tables in a folder, written as a table once per session and read back."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
-        name = f"rendered-pages-{key[0]}-{os.path.basename(urlparse(sf_dir).path.rstrip('/'))}-{len(_written)}"
-        path = f"{_shared_folder(spark).rstrip('/')}/{name}"
+        path = f"{_shared_folder(spark).rstrip('/')}/rendered-pages-{uuid.uuid4().hex}"
         render(spark, sf_dir).write.parquet(path)
         _written[key] = path
     return read_pages(spark, _written[key])

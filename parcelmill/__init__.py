@@ -6,7 +6,7 @@ from parcelmill.operators.identifiers import with_identifier
 from parcelmill.operators.locations import with_locations
 from parcelmill.operators.matching import dict_match
 from parcelmill.operators.normalize import normalize
-from parcelmill.operators.pages import invoice_year, page_lines
+from parcelmill.operators.pages import chunk_year, invoice_year, page_lines
 from parcelmill.operators.segmentation import segment
 from parcelmill.operators.service import with_service
 from parcelmill.operators.weights import with_weights
@@ -15,6 +15,7 @@ from parcelmill.sources.invoice_json import invoice_json_lines, write_invoice_js
 from parcelmill.sources.pages import read_pages
 
 __all__ = [
+    "chunk_year",
     "cost_items",
     "date_candidates",
     "dict_match",

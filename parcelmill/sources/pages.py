@@ -34,7 +34,9 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataF
     if format == "text":
         files = spark.read.text(path, wholetext=True)
         name = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), "[^/]+$", 0), r"\.txt$", "")
-        invoice = F.replace(F.url_decode(name), F.lit(".pdf"), F.lit(""))
+        # File paths are percent-encoded, but a plus sign in them is a plus sign.
+        decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        invoice = F.replace(decoded, F.lit(".pdf"), F.lit(""))
         pages = files.select(invoice.alias("invoice_id"), F.posexplode(F.split("value", "\f")))
         return as_pages(pages.select("invoice_id", (F.col("pos") + 1).alias("page_num"), F.col("col").alias("text")))
     reader = spark.read.schema(PAGE_SCHEMA)

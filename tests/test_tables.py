@@ -32,9 +32,9 @@ def test_read_pages_from_tables(spark, page_rows, tmp_path, format):
 
 
 def test_read_pages_from_text_files(spark, tmp_path):
-    (tmp_path / "Invoice 7.pdf.txt").write_text("one\r\ntwo\fthree", encoding="utf-8")
+    (tmp_path / "Invoice 7+8.pdf.txt").write_text("one\r\ntwo\fthree", encoding="utf-8")
     rows = pm.read_pages(spark, str(tmp_path), "text").orderBy("page_num").collect()
-    assert [tuple(r) for r in rows] == [("Invoice 7", 1, "one\ntwo"), ("Invoice 7", 2, "three")]
+    assert [tuple(r) for r in rows] == [("Invoice 7+8", 1, "one\ntwo"), ("Invoice 7+8", 2, "three")]
 
 
 def test_extract_shipments(spark, page_rows):
