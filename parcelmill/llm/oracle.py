@@ -25,3 +25,22 @@ t as (select r, count(*) as n_items, string_agg(s, ',' order by s) as s from (se
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
     sha256(coalesce(s, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join n using (r) left join t using (r)"""
+
+ORACLE["op9_minhash_near_dedup"] = rf"""
+with recursive d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') as w from documents),
+s as materialized (
+    select distinct doc_id, hash(g) as g, g as words
+    from (select doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') as g
+          from (select doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) as i from d where len(w) > 0))),
+n as materialized (select doc_id, count(*) as n from s group by doc_id),
+c as (
+    select a.doc_id as x, b.doc_id as y, count(*) as common
+    from s a join s b on a.g = b.g and a.words = b.words and a.doc_id < b.doc_id group by all),
+l as materialized (
+    select x, y from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * common >= 80 * (p.n + q.n - common)),
+e as materialized (select x, y from l union select y, x from l),
+r(doc_id, reached) as (select doc_id, doc_id from d union select r.doc_id, e.y from r join e on e.x = r.reached),
+k as (select doc_id, min(reached) as component_id from r group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from k left join n using (doc_id)"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam
+from parcelmill.llm import decontam, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,3 +30,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near-duplicates that each document belongs to, by shingles of four words."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+    )
