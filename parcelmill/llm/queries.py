@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, minhash
+from parcelmill.llm import decontam, minhash, pii, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,3 +40,25 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
     )
+
+
+@_query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that lie in a 100-byte string which also starts earlier."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document."""
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "row.doc_id",
+        *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"),
+    )
