@@ -44,3 +44,12 @@ r(doc_id, reached) as (select doc_id, doc_id from d union select r.doc_id, e.y f
 k as (select doc_id, min(reached) as component_id from r group by doc_id)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
 from k left join n using (doc_id)"""
+
+ORACLE["op8_warc"] = """
+with p as (select row_number() over () as r, page_id, encode(coalesce(html, '')) as b from pages),
+s as (select r, page_id, octet_length(b)::bigint as n, sha1(b) as sha from p),
+g as (select sha, max(page_id) as last from s where n >= 1000 and page_id is not null group by sha)
+select page_id, n as payload_bytes, s.sha as payload_digest,
+    case when page_id < last and n >= 1000 then 'revisit' else 'response' end as record_type,
+    case when page_id < last and n >= 1000 then last end as refers_to
+from s left join g on s.sha = g.sha"""

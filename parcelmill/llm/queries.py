@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, minhash, pii, suffix_dedup
+from parcelmill.llm import decontam, minhash, pii, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -62,3 +62,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"),
     )
+
+
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all pages, written into archives and read back."""
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    whole = F.when(F.col("intact"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a record is damaged")))
+    return found.select(F.col("page").alias("page_id"), whole.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
