@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, minhash, pii, suffix_dedup, warc
+from parcelmill.llm import decontam, html_text, minhash, pii, suffix_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,3 +70,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
     whole = F.when(F.col("intact"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a record is damaged")))
     return found.select(F.col("page").alias("page_id"), whole.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@_query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
