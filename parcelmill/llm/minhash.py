@@ -5,11 +5,11 @@
    0.8, shares no band with probability (1 - 0.8**5)**36 = 6e-7.
 2. Texts with equal sets form a class; only its smallest document goes on. However many copies there are, a class is
    one aggregated row.
-3. A band key that several classes share is a bucket. Rounds of stars link its members: first to a member drawn by
-   hash, then to the member that has most links so far. Members of buckets that are still in several components are
-   compared by signature, block by block for large buckets, and what passes becomes a candidate. So no pair of a
-   bucket is left out, and pairs of one component, which are nearly all pairs of a group of copies, are never made.
-4. Signatures reject candidates whose estimate is 4.5 standard deviations too low; the others are verified on their full
+3. A band key that several classes share is a bucket. Rounds of stars link its members, each with a leader of its
+   buckets drawn by hash, for each of SEEDS seeds, as long as this finds many new links. Members of buckets that are still in several components are compared by signature, block by block for large
+   buckets, and what passes becomes a candidate. So no pair of a bucket is left out, and pairs of one component, which
+   are nearly all pairs of a group of copies, are never made.
+4. Signatures reject candidates whose estimate is 4.8 standard deviations too low; the others are verified on their full
    shingle sets, and components are computed from the verified links.
 """
 
@@ -28,14 +28,23 @@ from parcelmill.llm.scratch import stored
 SHINGLE_WORDS = 5
 SIMILAR = (80, 100)  # links have SIMILAR[1] * intersection >= SIMILAR[0] * union
 BANDS, ROWS = 36, 5
+LONG = 2048  # hash minima of a long signature
+SEEDS = 4  # leaders of a member in a round
 BLOCK = 1024  # members of a bucket that are compared at once
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 
 _random = np.random.default_rng(20240229)
-_A = _random.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _random.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+
+
+def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n universal hash functions a * x + b modulo 2**32, a odd."""
+    return _random.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), _random.integers(0, 1 << 32, n, dtype=np.uint32)
+
+
+_A, _B = _family(BANDS * ROWS)
+_LONG_A, _LONG_B = _family(LONG)
 
 
 def _shingles(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -49,16 +58,22 @@ def _shingles(column: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield np.unique(windows[a : b - k + 1] if b - a >= k else bytetext.window_hash(h[a:b], b - a) if b > a else h[:0])
 
 
-def _minima(shingles: np.ndarray) -> np.ndarray:
+def _minima(shingles: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    best = np.full(len(_A), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(x), 2048):
-        h = _A[:, None] * x[None, at : at + 2048]
-        h += _B[:, None]
+    best = np.full(len(a), 0xFFFFFFFF, np.uint32)
+    step = max(1, (1 << 19) // len(a))
+    for at in range(0, len(x), step):
+        h = a[:, None] * x[None, at : at + step]
+        h += b[:, None]
         np.minimum(best, h.min(axis=1), out=best)
     return best
 
 
+def _short(minima: np.ndarray) -> np.ndarray:
+    """One byte of each minimum."""
+    return (minima * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+
+
 SKETCH = "id long, n int, set_a long, set_b long, bands array<long>, signature binary"
 
 
@@ -79,7 +94,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
             for r in range(ROWS):
                 acc = acc * np.uint64(0xD1342543DE82EF95) + m.reshape(len(m), BANDS, ROWS)[:, :, r]
             bands = bytetext.mixed(acc + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            short = (m * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8)
+            short = _short(m)
             empty = np.array(sizes) == 0
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * BANDS, pa.int32()), pa.array(bytetext.signed(bands.reshape(-1))), mask=pa.array(empty))
             yield pa.RecordBatch.from_arrays(
@@ -109,10 +124,10 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text: str, k: int) -> Da
     return rows.mapInArrow(make, "id long, shingles binary")
 
 
-def _lowest_estimate() -> float:
-    """4.5 standard deviations below the least similarity."""
+def _lowest_estimate(hashes: int) -> float:
+    """4.8 standard deviations below the least similarity: it turns down one link in a million."""
     j = SIMILAR[0] / SIMILAR[1]
-    return j - 4.5 * (j * (1 - j) / (BANDS * ROWS)) ** 0.5
+    return j - 4.8 * (j * (1 - j) / hashes) ** 0.5
 
 
 def _promising(pairs: DataFrame, features: DataFrame) -> DataFrame:
@@ -123,7 +138,7 @@ def _promising(pairs: DataFrame, features: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(part.num_rows, -1) for c in ("sa", "sb"))
-                keep = pa.array((x == y).mean(axis=1) >= _lowest_estimate())
+                keep = pa.array((x == y).mean(axis=1) >= _lowest_estimate(BANDS * ROWS))
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], ["a", "b"])
 
     low, high = SIMILAR
@@ -158,26 +173,43 @@ def _ordered(a: str, b: str):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
 
+def _long_signatures(sets: DataFrame) -> DataFrame:
+    """(id, long): a signature of LONG bytes of each shingle set."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                made = [_short(_minima(np.frombuffer(x.as_py(), np.uint64), _LONG_A, _LONG_B)).tobytes() for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], ["id", "long"])
+
+    return sets.mapInArrow(sign, "id long, long binary")
+
+
 def _across(rows: DataFrame) -> DataFrame:
-    """All pairs (a, b) of a bucket's members in different components whose signatures allow a link.
+    """All pairs (a, b) of a bucket's members in different components whose sizes and long signatures allow a link.
 
-    rows: (bucket, id, component, signature, size of the bucket). A bucket of more than BLOCK members is parted into
+    rows: (bucket, id, component, n, long, size of the bucket). A bucket of more than BLOCK members is parted into
     blocks, and each pair of blocks is a group of its own; so no task holds more than about two blocks of a bucket.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    group = dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "id", "component", "signature")
-    least = _lowest_estimate()
+    group = dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "id", "component", "n", "long")
+    small, large = SIMILAR
+    first, whole = _lowest_estimate(128), _lowest_estimate(LONG)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(held: list[tuple]) -> pa.RecordBatch:
-            ids, comps = np.array([r[0] for r in held]), np.array([r[1] for r in held])
+            ids, comps, n = (np.array([r[i] for r in held]) for i in range(3))
             out: list[tuple[np.ndarray, np.ndarray]] = []
-            if len(held) > 1 and (comps != comps[0]).any():
-                s = np.frombuffer(b"".join(r[2] for r in held), np.uint8).reshape(len(held), -1)
+            if (comps != comps[0]).any():
+                s = np.frombuffer(b"".join(r[3] for r in held), np.uint8).reshape(len(held), -1)
+                head = np.ascontiguousarray(s[:, :128])
                 for i in range(len(held) - 1):
-                    near = np.flatnonzero((comps[i + 1 :] != comps[i]) & ((s[i + 1 :] == s[i]).mean(axis=1) >= least)) + i + 1
+                    near = np.flatnonzero((comps[i + 1 :] != comps[i]) & (large * np.minimum(n[i + 1 :], n[i]) >= small * np.maximum(n[i + 1 :], n[i]))) + i + 1
+                    near = near[(head[near] == head[i]).mean(axis=1) >= first] if len(near) else near
+                    near = near[(s[near] == s[i]).mean(axis=1) >= whole] if len(near) else near
                     if len(near):
                         out.append((np.minimum(ids[i], ids[near]), np.maximum(ids[i], ids[near])))
             a, b = (np.concatenate([p[x] for p in out]) if out else np.zeros(0, np.int64) for x in (0, 1))
@@ -185,13 +217,14 @@ def _across(rows: DataFrame) -> DataFrame:
 
         key, held = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "low", "high", "id", "component", "signature")]
-            for bucket, low, high, *row in zip(*columns):
-                if (bucket, low, high) != key:
-                    if len(held) > 1:
-                        yield pairs(held)
-                    key, held = (bucket, low, high), []
-                held.append(row)
+            for at in range(0, batch.num_rows, 1024):
+                columns = [batch.column(c).slice(at, 1024).to_pylist() for c in ("bucket", "low", "high", "id", "component", "n", "long")]
+                for bucket, low, high, *row in zip(*columns):
+                    if (bucket, low, high) != key:
+                        if len(held) > 1:
+                            yield pairs(held)
+                        key, held = (bucket, low, high), []
+                    held.append(row)
         if len(held) > 1:
             yield pairs(held)
 
@@ -227,19 +260,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         apart = named.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("bucket")
         return named.join(apart, "bucket", "left_semi")
 
-    def stars(members: DataFrame, rank) -> DataFrame:
-        """Pairs of every member with its bucket's leader, the one of the highest rank."""
-        leaders = members.groupBy("bucket").agg(F.max_by(F.struct("id", "component"), rank).alias("leader"))
-        pairs = members.join(leaders, "bucket").filter("id <> leader.id and component <> leader.component")
-        return pairs.select(*_ordered("id", "leader.id")).distinct()
-
-    links = verified(stars(shared.withColumn("component", F.col("id")), F.xxhash64("id", "bucket")))
-    found = components(links)
-    degrees = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("degree")).withColumnRenamed("a", "id")
-    hubs = stored(labelled(found).join(degrees, "id", "left"), "open-buckets")
-    links = links.union(verified(stars(hubs, F.struct(F.coalesce("degree", F.lit(0)), F.xxhash64("id")))))
+    def stars(members: DataFrame, turn: int) -> DataFrame:
+        """For every member SEEDS leaders in other components, drawn by hash from its buckets; linked ones come first."""
+        dealt = members.withColumn("seed", F.explode(F.array(*[F.lit(turn * SEEDS + i) for i in range(SEEDS)])))
+        rank = F.struct(F.col("linked"), F.xxhash64("id", "seed").alias("rank"), F.col("id"), F.col("component"))
+        leaders = dealt.groupBy("bucket", "seed").agg(F.max(rank).alias("leader"))
+        apart = dealt.join(leaders, ["bucket", "seed"]).filter("id <> leader.id and component <> leader.component")
+        best = apart.groupBy("id", "seed").agg(F.max("leader").alias("leader"))
+        return best.select(*_ordered("id", "leader.id")).distinct()
+
+    links, turn = verified(stars(shared.withColumns({"component": F.col("id"), "linked": F.lit(False)}), 0)), 0
+    while True:  # as long as they find many new links
+        found, turn = components(links), turn + 1
+        linked = found.select(F.col("node").alias("id"), F.lit(True).alias("linked"))
+        apart = stored(labelled(found).join(linked, "id", "left").fillna(False, ["linked"]), "open-buckets")
+        pairs = stored(stars(apart, turn), "stars")
+        new = verified(pairs)
+        links = stored(links.union(new), "all-links")
+        if new.count() * 100 <= pairs.count():
+            break
     found = components(links)
-    links = links.union(verified(_across(labelled(found).join(features.select("id", "signature"), "id"))))
+    rest = stored(labelled(found).select("bucket", "id", "component", "size"), "open-buckets")
+    signed = _long_signatures(sets.join(rest.select("id").distinct(), "id", "left_semi")).join(features.select("id", "n"), "id")
+    links = links.union(stored(_linked(stored(_across(rest.join(signed, "id")), "candidates"), sets), "links"))
     found = stored(components(links), "components")
 
     ends = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
