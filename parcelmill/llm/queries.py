@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, html_text, minhash, pii, suffix_dedup, warc
+from parcelmill.llm import decontam, html_text, minhash, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -77,3 +77,15 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of each page."""
     found = html_text.extract(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@_query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the URL of each page."""
+    found = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return found.select("row.page_id", "host", "path", "rule", "verdict", F.round("score", 9).alias("score"))
