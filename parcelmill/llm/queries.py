@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, html_text, minhash, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import decontam, html_text, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,3 +89,9 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on the URL of each page."""
     found = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return found.select("row.page_id", "host", "path", "rule", "verdict", F.round("score", 9).alias("score"))
+
+
+@_query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of all documents; copies of a text and documents of one source never share one."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
