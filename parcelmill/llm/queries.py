@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, html_text, minhash, packing, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import decontam, html_text, langid, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,3 +95,14 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bins of all documents; copies of a text and documents of one source never share one."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each page, from its main text, declared language, address and host."""
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    pages = html_text.extract(table(spark, sf_dir, "pages"))
+    declared = F.regexp_extract("row.html", r"(?i)<html\b[^>]*\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    host, _ = url_filter.host_and_path(F.col("row.url"))
+    found = langid.identify(pages, model, F.col("row.page_id"), F.col("main_text"), declared, host)
+    return found.select(F.col("key").alias("page_id"), "lang", "confidence", "text_lang", "n_trigrams")
