@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, html_text, langid, minhash, packing, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import decontam, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -106,3 +106,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     host, _ = url_filter.host_and_path(F.col("row.url"))
     found = langid.identify(pages, model, F.col("row.page_id"), F.col("main_text"), declared, host)
     return found.select(F.col("key").alias("page_id"), "lang", "confidence", "text_lang", "n_trigrams")
+
+
+@_query
+def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
