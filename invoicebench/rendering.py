@@ -15,7 +15,6 @@ numbers 1, 4, 7, ...; the two page numbers after one are for what the last block
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -248,12 +247,6 @@ def rendered_pages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 _written: dict[tuple[str, str], str] = {}
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -263,10 +256,17 @@ def render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rendered pages of the tables in a folder, written as a table once per session and read back."""
+    """The rendered pages of the tables in a folder, written as a table once per session and read back.
+
+    The table goes to the folder that the cluster names in spark.checkpoint.dir; where none is named, nothing is written
+    and the pages are rendered as they are read.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return render(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
-        path = f"{_shared_folder(spark).rstrip('/')}/rendered-pages-{uuid.uuid4().hex}"
+        path = f"{folder.rstrip('/')}/rendered-pages-{uuid.uuid4().hex}"
         render(spark, sf_dir).write.parquet(path)
         _written[key] = path
     return read_pages(spark, _written[key])

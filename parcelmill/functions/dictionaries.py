@@ -86,7 +86,7 @@ ISO_SHORT_NAMES = {
     "FM": "Micronesia, Federated States of",
     "GS": "South Georgia and the South Sandwich Islands", "HK": "Hong Kong",
     "HM": "Heard Island and McDonald Islands", "IR": "Iran, Islamic Republic of",
-    "KN": "Saint Kitts and Nevis", "KP": "Korea, Democratic People's Republic of",
+    "CV": "Cabo Verde", "KN": "Saint Kitts and Nevis", "KP": "Korea, Democratic People's Republic of",
     "KR": "Korea, Republic of", "LA": "Lao People's Democratic Republic", "LC": "Saint Lucia",
     "MD": "Moldova, Republic of", "MF": "Saint Martin (French part)", "MM": "Myanmar",
     "MO": "Macao", "PM": "Saint Pierre and Miquelon", "PN": "Pitcairn",
@@ -101,4 +101,32 @@ ISO_SHORT_NAMES = {
     "VI": "Virgin Islands, U.S.", "VN": "Viet Nam", "WF": "Wallis and Futuna",
 }
 
+# ISO 3166: numeric codes, common and official names of the countries that trade most, alpha-2 code first.
+NUMERIC_CODES = {
+    "AE": "784", "AR": "032", "AT": "040", "AU": "036", "BE": "056", "BG": "100", "BR": "076", "CA": "124", "CH": "756",
+    "CL": "152", "CN": "156", "CO": "170", "CY": "196", "CZ": "203", "DE": "276", "DK": "208", "EE": "233", "EG": "818",
+    "ES": "724", "FI": "246", "FR": "250", "GB": "826", "GR": "300", "HK": "344", "HR": "191", "HU": "348", "ID": "360",
+    "IE": "372", "IL": "376", "IN": "356", "IS": "352", "IT": "380", "JP": "392", "KR": "410", "LI": "438", "LT": "440",
+    "LU": "442", "LV": "428", "MA": "504", "MT": "470", "MX": "484", "MY": "458", "NG": "566", "NL": "528", "NO": "578",
+    "NZ": "554", "PE": "604", "PH": "608", "PK": "586", "PL": "616", "PT": "620", "RO": "642", "RS": "688", "RU": "643",
+    "SA": "682", "SE": "752", "SG": "702", "SI": "705", "SK": "703", "TH": "764", "TN": "788", "TR": "792", "TW": "158",
+    "UA": "804", "US": "840", "VN": "704", "ZA": "710",
+}
+COMMON_NAMES = {
+    "BO": "Bolivia", "IR": "Iran", "KR": "South Korea", "LA": "Laos", "MD": "Moldova", "TW": "Taiwan", "TZ": "Tanzania",
+    "VE": "Venezuela", "VN": "Vietnam",
+}
+OFFICIAL_NAMES = {
+    "AT": "Republic of Austria", "BE": "Kingdom of Belgium", "BG": "Republic of Bulgaria", "BR": "Federative Republic of Brazil",
+    "CH": "Swiss Confederation", "CN": "People's Republic of China", "CV": "Republic of Cabo Verde", "CZ": "Czech Republic",
+    "DE": "Federal Republic of Germany", "DK": "Kingdom of Denmark", "EE": "Republic of Estonia", "ES": "Kingdom of Spain",
+    "FI": "Republic of Finland", "FR": "French Republic", "GB": "United Kingdom of Great Britain and Northern Ireland",
+    "GR": "Hellenic Republic", "HK": "Hong Kong Special Administrative Region of China", "HR": "Republic of Croatia",
+    "IN": "Republic of India", "IS": "Republic of Iceland", "IT": "Italian Republic", "LT": "Republic of Lithuania",
+    "LU": "Grand Duchy of Luxembourg", "LV": "Republic of Latvia", "NL": "Kingdom of the Netherlands", "NO": "Kingdom of Norway",
+    "PL": "Republic of Poland", "PT": "Portuguese Republic", "SE": "Kingdom of Sweden", "SG": "Republic of Singapore",
+    "SI": "Republic of Slovenia", "SK": "Slovak Republic", "TR": "Republic of Türkiye", "US": "United States of America",
+    "VN": "Socialist Republic of Viet Nam", "ZA": "Republic of South Africa",
+}
+
 # --- end of fixed values ----------------------------------------------------------------------

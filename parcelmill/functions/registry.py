@@ -2,19 +2,17 @@
 
 The default registry is derived from the Java runtime of the Spark driver (codes and English names)
 with the ISO short names where they differ. A fuller one (numeric codes, official and common names)
-can be passed wherever a registry is taken: it is a plain list, so its size is bounded by design.
+can be passed wherever a registry is taken, as a list or read from a CSV file by `read_registry`.
 """
 
 from __future__ import annotations
 
+import csv
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmill.functions.dictionaries import ISO_SHORT_NAMES
-
-# More entries than this cannot be a country registry; the bound keeps the broadcast small.
-MAX_COUNTRIES = 1000
+from parcelmill.functions.dictionaries import COMMON_NAMES, ISO_SHORT_NAMES, NUMERIC_CODES, OFFICIAL_NAMES
 
 
 class Country(NamedTuple):
@@ -33,21 +31,22 @@ def iso_countries(spark: SparkSession) -> list[Country]:
         entry = locale("", code)
         shown = entry.getDisplayCountry(locale.ENGLISH).replace("&", "and")
         name = ISO_SHORT_NAMES.get(code, shown)
-        countries.append(Country(code, entry.getISO3Country(), None, name))
+        common, official = COMMON_NAMES.get(code), OFFICIAL_NAMES.get(code)
+        countries.append(Country(code, entry.getISO3Country(), NUMERIC_CODES.get(code), name, common, official))
     return countries
 
 
-def checked(countries: list[Country]) -> list[Country]:
-    if len(countries) > MAX_COUNTRIES:
-        raise ValueError(f"a country registry has at most {MAX_COUNTRIES} entries")
-    return countries
+def read_registry(path: str) -> list[Country]:
+    """A registry from a CSV file with a header of the six field names; empty fields are unknown."""
+    with open(path, encoding="utf-8", newline="") as file:
+        return [Country(*(row.get(field) or None for field in Country._fields)) for row in csv.DictReader(file)]
 
 
 def country_keys(spark: SparkSession, countries: list[Country]) -> DataFrame:
     """Lookup table (key, alpha_2): every field of every country in lower case."""
     keys: dict[str, str] = {}
     for position in range(len(Country._fields)):
-        for country in checked(countries):
+        for country in countries:
             if country[position]:
                 keys.setdefault(country[position].lower(), country.alpha_2)
     return spark.createDataFrame(list(keys.items()), "key string, alpha_2 string")
@@ -57,6 +56,6 @@ def one_word_names(countries: list[Country]) -> dict[str, str]:
     """Lower-case names without comma or space -> alpha-2, for lookups of single words."""
     return {
         country.name.lower(): country.alpha_2
-        for country in checked(countries)
+        for country in countries
         if country.name and len(country.name) >= 3 and not set(country.name) & {",", " "}
     }

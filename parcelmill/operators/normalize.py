@@ -21,8 +21,18 @@ DATE_FORMATS = [
 ]
 _MONTH_FIRST = ["M.d.yyyy", "M/d/yyyy", "M-d-yyyy"]
 
-_FLOAT = r"(?i)^[+-]?(?:(?:[0-9]+(?:_[0-9]+)*\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
+# With two digits a year lies less than 50 years from now, as far as it goes.
+_SHORT_YEARS = ["d.M.yy", "d/M/yy", "d-M-yy", "d MMM yy", "d MMMM yy", "d-MMM-yy", "M.d.yy", "M/d/yy", "M-d-yy"]
+_TIME = r"[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?$"
+
+_FLOAT = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
 _INT = "^[+-]?[0-9]+$"
+_LOOSE_UNDERSCORE = "(?<![0-9])_|_(?![0-9])"
+
+
+def _ungrouped(text: Column) -> Column:
+    """A number without the underscores between its digits; null if there are others."""
+    return F.when(~F.rlike(text, F.lit(_LOOSE_UNDERSCORE)), F.replace(text, F.lit("_"), F.lit("")))
 
 
 def clean_string(value: Column) -> Column:
@@ -33,25 +43,28 @@ def clean_float(value: Column, data_type=StringType()) -> Column:
     """A number, or a string with a decimal point or comma; null where it is neither."""
     if isinstance(data_type, NumericType):
         return value.cast("double")
-    text = F.replace(p.strip(value), F.lit(","), F.lit("."))
-    return F.when(F.rlike(text, F.lit(_FLOAT)), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    text = _ungrouped(F.replace(p.strip(value), F.lit(","), F.lit(".")))
+    return F.when(F.rlike(text, F.lit(_FLOAT)), text.try_cast("double"))
 
 
 def clean_int(value: Column, data_type=StringType()) -> Column:
     """A number without its fraction, or a string that is a whole number."""
     if isinstance(data_type, NumericType):
         return value.try_cast("bigint")
-    text = p.strip(value)
+    text = _ungrouped(p.strip(value))
     return F.when(F.rlike(text, F.lit(_INT)), text.try_cast("bigint"))
 
 
 def clean_date(value: Column, data_type=StringType()) -> Column:
-    """A date from the ISO form or one of the listed spellings, day first unless only month first fits."""
+    """A date from the ISO form or one of the listed spellings, day first unless only month first fits; a time is cut off."""
     if not isinstance(data_type, StringType):
         return value.cast("date")
-    text = F.regexp_replace(p.strip(value), r"(?<=[A-Za-z0-9])[.,] ", " ")
+    text = F.regexp_replace(F.regexp_replace(p.strip(value), _TIME, ""), r"(?<=[A-Za-z0-9])[.,] ", " ")
     formats = ["yyyy-M-d", *DATE_FORMATS, *_MONTH_FIRST]
-    return F.coalesce(*[F.try_to_date(text, spelling) for spelling in formats])
+    short = F.coalesce(*[F.try_to_date(text, spelling) for spelling in _SHORT_YEARS])  # taken as 20yy
+    late = F.year(short) >= F.year(F.current_date()) + 50
+    century = p.bind(short, lambda date: F.when(late, F.add_months(date, F.lit(-1200))).otherwise(date))
+    return F.coalesce(*[F.try_to_date(text, spelling) for spelling in formats], century)
 
 
 def clean_cost_item(item: Column, cost_type=DoubleType()) -> Column:
@@ -68,7 +81,7 @@ def _with_country(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """ISO alpha-2 code by any field of the registry; what is unknown stays, in upper case."""
     code = F.upper(p.strip(F.col(column)))
     found = keys.select(F.col("key").alias("_key"), F.col("alpha_2").alias("_alpha_2"))
-    joined = df.withColumn("_code", code).join(F.broadcast(found), F.lower("_code") == F.col("_key"), "left")
+    joined = df.withColumn("_code", code).join(found, F.lower("_code") == F.col("_key"), "left")
     known = F.when(F.col(column) != "", F.coalesce("_alpha_2", "_code"))
     return joined.withColumn(column, known).drop("_code", "_key", "_alpha_2")
 
