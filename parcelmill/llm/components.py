@@ -24,10 +24,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
     """Every node has one parent, and no parent has one."""
-    parents = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("b"))
-    if parents.filter("n > 1").limit(1).count():
-        return False
-    return not edges.select(F.col("b").alias("a")).distinct().join(edges.select("a"), "a", "left_semi").limit(1).count()
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    counts = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not counts.filter("up + down > 1").head(1)
 
 
 def components(edges: DataFrame) -> DataFrame:

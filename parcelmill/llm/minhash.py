@@ -189,26 +189,29 @@ def _long_signatures(sets: DataFrame) -> DataFrame:
 def _across(rows: DataFrame) -> DataFrame:
     """All pairs (a, b) of a bucket's members in different components whose sizes and long signatures allow a link.
 
-    rows: (bucket, id, component, n, long, size of the bucket). A bucket of more than BLOCK members is parted into
+    rows: (bucket, id, component, n, long, bands, size of the bucket). A bucket of more than BLOCK members is parted into
     blocks, and each pair of blocks is a group of its own; so no task holds more than about two blocks of a bucket.
+    A pair that shares several buckets is made in the first of them only.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    group = dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "id", "component", "n", "long")
+    group = dealt.select("bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "id", "component", "n", "long", "bands")
     small, large = SIMILAR
     first, whole = _lowest_estimate(128), _lowest_estimate(LONG)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held: list[tuple]) -> pa.RecordBatch:
+        def pairs(bucket: int, held: list[tuple]) -> pa.RecordBatch:
             ids, comps, n = (np.array([r[i] for r in held]) for i in range(3))
             out: list[tuple[np.ndarray, np.ndarray]] = []
             if (comps != comps[0]).any():
                 s = np.frombuffer(b"".join(r[3] for r in held), np.uint8).reshape(len(held), -1)
-                head = np.ascontiguousarray(s[:, :128])
+                head, bands = np.ascontiguousarray(s[:, :128]), np.stack([r[4] for r in held])
+                band = int(np.flatnonzero(bands[0] == bucket)[0])
                 for i in range(len(held) - 1):
                     near = np.flatnonzero((comps[i + 1 :] != comps[i]) & (large * np.minimum(n[i + 1 :], n[i]) >= small * np.maximum(n[i + 1 :], n[i]))) + i + 1
                     near = near[(head[near] == head[i]).mean(axis=1) >= first] if len(near) else near
+                    near = near[~(bands[near, :band] == bands[i, :band]).any(axis=1)] if len(near) else near
                     near = near[(s[near] == s[i]).mean(axis=1) >= whole] if len(near) else near
                     if len(near):
                         out.append((np.minimum(ids[i], ids[near]), np.maximum(ids[i], ids[near])))
@@ -219,14 +222,15 @@ def _across(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 columns = [batch.column(c).slice(at, 1024).to_pylist() for c in ("bucket", "low", "high", "id", "component", "n", "long")]
-                for bucket, low, high, *row in zip(*columns):
+                bands = batch.column("bands").slice(at, 1024).flatten().to_numpy().reshape(-1, BANDS)
+                for bucket, low, high, *row in zip(*columns, bands):
                     if (bucket, low, high) != key:
                         if len(held) > 1:
-                            yield pairs(held)
+                            yield pairs(key[0], held)
                         key, held = (bucket, low, high), []
                     held.append(row)
         if len(held) > 1:
-            yield pairs(held)
+            yield pairs(key[0], held)
 
     keys = ["bucket", "low", "high"]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -249,7 +253,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     shared = stored(rows.join(sizes.select("bucket", "size"), "bucket"), "buckets")
     sets = stored(_sets(docs, shared.select("id").distinct(), id_col, text, k), "sets")
-    features = features.select("id", "n", "signature")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return stored(_linked(stored(_promising(pairs, features), "candidates"), sets), "links")
@@ -277,11 +280,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         pairs = stored(stars(apart, turn), "stars")
         new = verified(pairs)
         links = stored(links.union(new), "all-links")
-        if new.count() * 100 <= pairs.count():
+        if new.count() * 20 <= pairs.count():
             break
     found = components(links)
     rest = stored(labelled(found).select("bucket", "id", "component", "size"), "open-buckets")
-    signed = _long_signatures(sets.join(rest.select("id").distinct(), "id", "left_semi")).join(features.select("id", "n"), "id")
+    signed = _long_signatures(sets.join(rest.select("id").distinct(), "id", "left_semi")).join(features.select("id", "n", "bands"), "id")
     links = links.union(stored(_linked(stored(_across(rest.join(signed, "id")), "candidates"), sets), "links"))
     found = stored(components(links), "components")
 
