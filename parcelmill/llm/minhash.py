@@ -297,6 +297,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
     """The rows whose id is the smallest of its group; of repeated rows one. Rows with a null id stay."""
-    kept = near_duplicates(docs, id_col, text, k).filter("id = component").select(F.col("id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
+    kept = near_duplicates(docs, id_col, text, k).filter("id = component").select("id").distinct()
+    rows = docs.join(kept, docs[f"`{id_col}`"] == kept["id"], "left_semi").dropDuplicates([id_col])
     return rows.unionByName(docs.filter(F.col(id_col).isNull()))
