@@ -101,7 +101,7 @@ def _likelihoods(df: DataFrame, model: TextModel) -> DataFrame:
             for row, bucket, of, n in _trigrams(batch.column(3)):
                 size = np.bincount(of, minlength=n)
                 sums = np.stack([np.bincount(of, weights=c[bucket], minlength=n) for c in chances], axis=1)
-                sums *= (np.minimum(size, EFFECTIVE) / np.maximum(size, 1))[:, None]
+                sums = sums * (np.minimum(size, EFFECTIVE) / np.maximum(size, 1))[:, None]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(chances), pa.int32()), pa.array(sums.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(row, n) for i in range(3)), pa.array(size.astype(np.int64)), lists], ["key", "declared", "host", "n", "likelihood"]
@@ -110,6 +110,10 @@ def _likelihoods(df: DataFrame, model: TextModel) -> DataFrame:
     return df.mapInArrow(measure, f"key {key}, declared string, host string, n long, likelihood array<double>")
 
 
+def _doubles(values: list[Column]) -> Column:
+    return F.array(*values).cast("array<double>")
+
+
 def identify(
     rows: DataFrame, model: TextModel, key: Column, text: Column, declared: Column | None = None, host: Column | None = None,
     suffix: bool = True,
@@ -138,7 +142,7 @@ def identify(
     )
 
     def tally(*by: str) -> DataFrame:
-        sums = F.array(*[F.coalesce(F.sum(F.when(F.col("vote") == i, F.col("n"))), F.lit(0)).cast("double") for i in range(size)])
+        sums = _doubles([F.coalesce(F.sum(F.when(F.col("vote") == i, F.col("n"))), F.lit(0)) for i in range(size)])
         return votes.groupBy(*by).agg(sums.alias("c"))
 
     def smoothed(counts: str, prior: Column) -> Column:
@@ -147,18 +151,18 @@ def identify(
 
     whole = np.array((tally().first() or [[0.0] * size])["c"]) if votes.head(1) else np.zeros(size)  # one row
     share = (whole + 1) / (whole.sum() + size) if size else whole
-    overall = F.array(*[F.lit(float(x)) for x in share])
+    overall = _doubles([F.lit(float(x)) for x in share])
     domains = tally("domain").filter("domain <> ''").select("domain", smoothed("c", overall).alias("above"))
     hosts = tally("host", "domain").filter("host <> ''").join(domains, "domain", "left")
     hosts = stored(hosts.select("host", smoothed("c", F.coalesce("above", overall)).alias("prior")), "hosts")
-    columns = F.array(*[F.lit(float(x) + STRENGTH) for x in whole])
+    columns = _doubles([F.lit(float(x) + STRENGTH) for x in whole])
     given = lambda: F.zip_with(F.col("c"), columns, lambda c, n: (c + STRENGTH / (4 * max(1, size))) / n)
     suffixes = stored(tally("suffix").filter("suffix <> ''").select("suffix", given().alias("by_suffix")), "suffixes")
-    same = F.array(*[F.when(F.col("declared") == name, F.lit(0.8 * STRENGTH)).otherwise(F.lit(0.2 * STRENGTH / max(1, size))) for name in names])
+    same = _doubles([F.when(F.col("declared") == name, F.lit(0.8 * STRENGTH)).otherwise(F.lit(0.2 * STRENGTH / max(1, size))) for name in names])
     marks = tally("declared").filter("declared <> ''")
     marks = stored(marks.select("declared", F.zip_with(F.zip_with("c", same, lambda c, s: c + s), columns, lambda c, n: c / n).alias("by_mark")), "marks")
 
-    flat = F.array(*[F.lit(1.0)] * size)
+    flat = _doubles([F.lit(1.0)] * size)
     log = lambda c: F.transform(F.coalesce(F.col(c), flat), lambda p: F.log(p))
     joined = scored.join(hosts, "host", "left").join(suffixes, "suffix", "left").join(marks, "declared", "left")
     prior = F.transform(F.coalesce("prior", overall), lambda p: F.log(p * (1 - UND_PRIOR)))
@@ -173,7 +177,7 @@ def identify(
         .select(
             "key", F.element_at(label, F.array_position("logits", F.col("top")).cast("int")).alias("lang"),
             (1 / F.aggregate("logits", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))).alias("confidence"),
-            F.element_at(label, F.col("vote") + 1).alias("text_lang"), F.col("n").alias("n_trigrams"),
+            F.when(F.col("n") > 0, F.element_at(label, F.col("vote") + 1)).alias("text_lang"), F.col("n").alias("n_trigrams"),
         )
     )
 

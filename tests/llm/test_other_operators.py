@@ -1,0 +1,279 @@
+"""Language identification, nearest neighbours, HTML, URLs and WARC against brute force or held-out labels."""
+
+import base64
+import gzip
+import hashlib
+import io
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from parcelmill.llm import html_text, langid, mih, url_filter, warc
+from parcelmill.llm.queries import URL_RULES
+from parcelmill.llm.scratch import new_folder
+from tables import CLASHES, documents, hard_rows
+
+SF = "/root/testdata/sf0.001"
+
+# --- language identification ---
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 2 = 0")
+    return langid.fit(docs, sample=100)
+
+
+def test_held_out_accuracy(spark, model):
+    held_out = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 2 = 1")
+    found = langid.identify(held_out, model, F.col("doc_id"), F.col("text")).withColumnRenamed("lang", "got")
+    right = found.join(held_out, F.col("key") == F.col("doc_id")).select((F.col("got") == F.col("lang")).cast("int").alias("x"))
+    assert right.agg(F.avg("x")).first()[0] > 0.97
+
+
+def test_likelihoods_equal_brute_force(spark, model):
+    texts = ["Hello, World", "ab", "", None, "a1b2c3", "é und ö", "x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key int, text string").select("key", F.lit("").alias("declared"), F.lit("").alias("host"), "text")
+    for r in langid._likelihoods(rows, model).collect():
+        raw = [b if 97 <= b < 123 or b >= 128 else 32 for b in (texts[r.key] or "").encode().lower()]
+        codes = [(x << 16 | y << 8 | z) for x, y, z in zip(raw, raw[1:], raw[2:]) if sum(b != 32 for b in (x, y, z)) >= 2]
+        buckets = [(c * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - langid.BITS) for c in codes]
+        share = min(len(codes), langid.EFFECTIVE) / max(1, len(codes))
+        assert r.n == len(codes)
+        assert np.allclose(r.likelihood, [share * sum(c[b] for b in buckets) for c in model.chances])
+
+
+def test_evidence_of_mark_suffix_and_host_decides_short_texts(spark, model):
+    german = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'de'").limit(12).collect()]
+    rows = [(i, t, None, "www.zeitung.de") for i, t in enumerate(german)]
+    rows += [(100, None, None, "www.zeitung.de"), (101, "", None, "other.zeitung.de"), (102, None, "fr-CA", None), (103, "12 34", None, None), (104, None, None, None)]
+    table = spark.createDataFrame(rows, "id int, text string, declared string, host string")
+    got = {r.key: r for r in langid.identify(table, model, F.col("id"), F.col("text"), F.col("declared"), F.col("host")).collect()}
+    assert len(got) == len(rows)
+    assert got[100].lang == got[101].lang == "de" and got[100].text_lang is None
+    assert got[102].confidence <= 1 and got[103].n_trigrams == 0
+
+
+def test_noise_is_undetermined_and_goes(spark, model):
+    draw = random.Random(1)
+    noise = " ".join("".join(draw.choice("bcdfghjkqvwxz") for _ in range(9)) for _ in range(60))
+    good = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'en'").first().text
+    docs = documents(spark, hard_rows()[:4] + [(50, noise), (51, good), (51, good), (None, good)])
+    kept = langid.keep_identified(docs, model)
+    assert kept.columns == docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids[50] == ids[2] == ids[3] == ids[5] == 0 and ids[51] == 2 and ids[None] == 1
+    assert langid.keep_identified(docs.limit(0), model).count() == 0
+
+
+def test_language_id_without_labels(spark):
+    none = langid.fit(documents(spark, [(1, None), (2, "")]))
+    assert none.languages == ["en"] or none.languages == []
+    empty = langid.fit(documents(spark, []))
+    assert empty.languages == []
+    assert [r.lang for r in langid.identify(documents(spark, [(1, "some text")]), empty, F.col("doc_id"), F.col("text")).collect()] == ["und"]
+
+
+# --- nearest neighbours ---
+
+
+def brute_nearest(rows, k):
+    fine = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
+    width = Counter(len(v) for _, v in fine).most_common(1)[0][0]
+    fine = [(i, v) for i, v in fine if len(v) == width]
+    out = {}
+    for q, x in fine:
+        if q % 10 == 0:
+            some = [(-round(float(x @ y / math.sqrt((x @ x) * (y @ y))), 12), i) for i, y in fine if i != q]
+            out[q] = [i for _, i in sorted(some)[:k]]
+    return out
+
+
+def test_nearest_with_hard_vectors(spark):
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(size=16).tolist()) for i in range(300)]
+    rows += [(i, rows[5][1]) for i in range(300, 340)]  # ties
+    rows += [(400, None), (410, []), (420, [0.0] * 16), (430, [float("nan")] * 16), (440, [None] + [1.0] * 15), (450, [1.0, 2.0]), (None, [1.0] * 16)]
+    rows += [(460, [1e200] * 16), (470, [1e-200] * 16)]
+    table = spark.createDataFrame([(i, v, *["x"] * len(CLASHES)) for i, v in rows], "vec_id long, embedding array<double>" + "".join(f", `{c}` string" for c in CLASHES))
+    want = brute_nearest(rows[:-2], 5)
+    found = {}
+    for r in mih.nearest(table, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found[460][0] == 470 and found[470][0] == 460
+    assert set(found) == set(want) | {460, 470}
+    same = [len(set(want[q]) & set(found[q])) for q in want]
+    assert sum(same) >= 0.9 * 5 * len(want)
+    assert found[300] == [5, 301, 302, 303, 304]
+
+
+def test_nearest_of_few_and_none(spark):
+    two = spark.createDataFrame([(0, [1.0, 0.0]), (50, [-1.0, 0.1])], "vec_id long, embedding array<float>")
+    assert [(r.query_id, r.rank, r.vec_id) for r in mih.nearest(two, F.col("vec_id") % 50 == 0).orderBy("query_id").collect()] == [(0, 1, 50), (50, 1, 0)]
+    assert mih.nearest(two.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_index_finds_every_code_within_the_radius():
+    draw = np.random.default_rng(2)
+    codes = draw.integers(0, 256, (500, 8), dtype=np.uint8)
+    index = mih.Index(codes)
+    for radius in (0, 7, 20, 30, 64):
+        got = index.within(codes[3], radius)
+        assert got.tolist() == [i for i in range(500) if np.bitwise_count(codes[i] ^ codes[3]).sum() <= radius]
+
+
+# --- HTML ---
+
+
+def test_articles_of_the_pages(spark):
+    import html
+    import re
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").toPandas()
+    for page in pages.html:
+        inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        assert html_text.main_text(page) == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
+
+
+@pytest.mark.parametrize("page, text", [
+    (None, ""), ("", ""), ("<p>", ""), ("<script>x", ""), ("a < b", "a < b"), ("<p>A&nbsp;&amp;\n <b>b</b>c<br>d", "A & bc d"),
+    ("<nav><ul><li>menu<article><p>text</article>", "text"), ("<!-- <p>x --><main>y</main>", "y"),
+    ("<article><header><h1>T</h1></header><p>a<aside>side</aside>b</p><form>f</form></article><footer>foot</footer>", "T a b"),
+    ("<div class='cookie-notice'>we use</div><article class=post>text</article><section id=comments><article>nice</article></section>", "text"),
+    ("<header><h1>Site</h1></header><p>" + "word " * 60 + "</p><div class=sidebar>" + "side " * 60 + "</div><p>(c)</p>", ("word " * 60).strip() + " (c)"),
+])
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_lines_far_from_text_are_left_out():
+    page = "<p>skip to</p>" + "<div></div><p>x</p>" * 4 + "<p>" + "word " * 60 + "</p><p>" + "more " * 60 + "</p>" + "<p><a href=x>link link link</a></p>" * 4 + "<p>end</p>"
+    assert html_text.main_text(page).endswith(("more " * 60).strip()) and "link" not in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("page", ['<a "' * 50000, '<a ="' * 50000, "<div>" * 50000 + "</section>" * 50000, "<article><nav>" * 20000, "<script>" * 50000, "</b>" * 100000])
+def test_broken_pages_take_linear_time(page):
+    html_text.main_text(page)
+
+
+def test_extract_keeps_columns(spark):
+    pages = spark.createDataFrame([(1, None, "x"), (1, "<p>a", "x"), (None, "<p>b", "x")], "page_id long, html string, main_text string")
+    got = html_text.extract(pages).select("row.page_id", "row.main_text", "main_text").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == sorted([(1, "x", ""), (1, "x", "a"), (None, "x", "b")], key=repr)
+
+
+# --- URLs ---
+
+
+def brute_rule(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    best = None
+    for verdict, rule in URL_RULES:
+        domain, slash, start = rule.partition("/")
+        if (host == domain or host.endswith("." + domain)) and path.startswith(slash + start) and (best is None or len(rule) > len(best[1])):
+            best = (verdict, rule)
+    return host, path, best
+
+
+URLS = [
+    None, "", "no scheme", "://", "http://A.Example.ORG/es/x?y", "http://example.org", "http://notexample.org/en/1", "http://a.example.org/en/12#z",
+    "https://x.com/fr/1", "https://x.com/de/1", "https://x.com/fr", "http://com/de/", "ftp://h?a/b", "http://u@h:80/p//q", "http://é.org/ß", "http://x.net/en/" + "a" * 5000,
+]
+
+
+def brute_scores(urls):
+    def grams(url):
+        text = (url.split("://", 1)[1] if "://" in url else url) if url else ""
+        s = [0, 0] + [url_filter.ALPHABET.find(c) + 1 for c in text.lower()]
+        return [tuple(s[i : i + 3]) for i in range(len(s) - 2)]
+
+    counts = {v: [Counter(), Counter(), Counter()] for v in ("allow", "block")}
+    for url in urls:
+        if best := brute_rule(url)[2]:
+            for g in grams(url):
+                for order in range(3):
+                    counts[best[0]][order][g[2 - order :]] += 1
+
+    def chance(kind, g):
+        p = 1 / url_filter.K
+        for order in range(3):
+            key = g[2 - order :]
+            after = {k: c for k, c in counts[kind][order].items() if k[:-1] == key[:-1]}
+            n, t = sum(after.values()), len(after)
+            p = (counts[kind][order][key] + t * p) / (n + t) if n else p
+        return p
+
+    ratio = {g: math.log(chance("allow", g)) - math.log(chance("block", g)) for u in urls for g in set(grams(u))}
+    return [sum(ratio[g] for g in grams(u)) / len(grams(u)) if grams(u) else 0.0 for u in urls]
+
+
+def test_urls_equal_brute_force(spark):
+    urls = URLS + [r.url for r in spark.read.parquet(f"{SF}/pages.parquet").select("url").collect()]
+    pages = spark.createDataFrame([(i, u, "x", "x", "x") for i, u in enumerate(urls)], "page_id long, url string, host string, grams string, model string")
+    got = {r.page_id: r for r in url_filter.judge(pages, URL_RULES).select("row.page_id", "host", "path", "rule", "score", "verdict").collect()}
+    scores = brute_scores(urls)
+    limits = {True: [], False: []}
+    for i, url in enumerate(urls):
+        host, path, best = brute_rule(url)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, best[1] if best else None)
+        assert got[i].score == pytest.approx(scores[i], abs=1e-9)
+        if best:
+            assert got[i].verdict == best[0]
+        else:
+            limits[got[i].verdict == "allow"].append(got[i].score)
+    assert not limits[True] or not limits[False] or min(limits[True]) >= max(limits[False])
+
+
+def test_urls_of_empty_tables_and_without_labels(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/a"), (2, None)], "page_id long, url string")
+    assert {r.verdict for r in url_filter.judge(pages, URL_RULES).collect()} == {"allow"}
+    assert url_filter.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+# --- WARC ---
+
+LONG = "<html>" + "é" * 600
+
+
+def warc_rows():
+    rows = [(1, "http://a/1", LONG), (5, "http://a/5", LONG), (3, None, LONG), (2, "http://a/ 2\r\n", "short"), (4, "http://a/4", "short"), (6, "u", None), (7, "u", "")]
+    return rows + [(8, "http://long", "x" * 300000), (5, "http://a/5", LONG), (None, "u", LONG), (9, "u", "a" * 999), (10, "u", "a" * 999), (11, "u", "HTTP\r\n\r\nbody")]
+
+
+def test_round_trip(spark):
+    rows = warc_rows()
+    pages = spark.createDataFrame([(*r, "x", "x", "x") for r in rows], "page_id long, url string, html string, page string, sha string, last string")
+    got = Counter(tuple(r)[:1] + (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.intact) for r in warc.round_trip(pages).select("page", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact").collect())
+    want = Counter()
+    for page, _, text in rows:
+        raw = (text or "").encode()
+        last = max([p for p, _, t in rows if p is not None and t == text]) if len(raw) >= 1000 and page is not None else page
+        revisit = page is not None and page < last
+        want[(page, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", last if revisit else None, True)] += 1
+    assert got == want
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_payloads_come_back(spark):
+    pages = spark.createDataFrame(warc_rows(), "page_id long, url string, html string").filter("page_id = 8 or page_id = 11")
+    archives = warc.write_warc(pages, new_folder(spark, "warc"))
+    assert {r.page: bytes(r.payload).decode() for r in warc.read_warc(spark, archives).collect()} == {8: "x" * 300000, 11: "HTTP\r\n\r\nbody"}
+
+
+def test_reader_is_one_member_a_record_and_sees_damage():
+    members = [gzip.compress(warc.record(i, "http://x/", b"payload" * i)) for i in range(4)]
+    found = list(warc.records(io.BytesIO(b"".join(members))))
+    assert [(int(f["x-page-id"]), intact) for f, _, intact in found] == [(i, True) for i in range(4)]
+    assert found[2][0]["warc-payload-digest"] == "sha1:" + base64.b32encode(hashlib.sha1(b"payload" * 2).digest()).decode()
+    cut = b"".join(members)[:-20]
+    assert [i for *_, i in warc.records(io.BytesIO(cut))] == [True, True, True, False]
+    changed = gzip.compress(warc.record(1, "u", b"payload").replace(b"payload", b"paylord"))
+    assert [i for *_, i in warc.records(io.BytesIO(changed + members[1]))] == [False, True]
+    assert list(warc.records(io.BytesIO(b""))) == []
