@@ -235,6 +235,7 @@ ORACLE = {
     "cost_items": f"with {_COSTS} select invoice_id, invoice_page, page_block, item_no, {_ITEM} from items",
     "cost_currency": f"with {_RECORDS} select invoice_id, invoice_page, page_block, currency_shipment from records",
     "cost_categories": f"select {_LINE_KEY}, {r.DESCRIPTION} as description, {_category(True)} as category from lineitem",
+    "dictionary_table": f"select {_LINE_KEY}, {r.DESCRIPTION} as description, {_category(True)} as category from lineitem",
     "shipment_net": f"""with {_COSTS}, net as (select k, cast(sum(net) as bigint) as net_cents from rows_ group by k)
         select {_KEY}, {_IDENTIFIER} as identifier, case when extra then 0 else coalesce(net_cents, 0) end as net_cents
         from b left join net using (k)""",
@@ -253,6 +254,8 @@ ORACLE = {
     "normalize_dates": """select o_orderkey, case when o_orderkey % 8 < 6 then cast(cast(o_orderdate as date) as string) end
         as shipment_date from orders""",
     "shipments": f"with {_RECORDS} select * exclude (cost_items) from records",
+    "shipments_json_files": f"""with {_RECORDS} select replace(invoice_id, '.pdf', '') || '_extracted.json' as document, identifier, invoice_page,
+        shipment_date, origin_country, pallet_amount, mentions from records""",
     "shipments_json": f"""with {_RECORDS},
         ranked as (select *, row_number() over (partition by invoice_id order by invoice_page, page_block) as nth,
             count(*) over (partition by invoice_id) as n from records)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import parcelmill as pm
-from invoicebench.rendering import DESCRIPTION, decimal, pages, pick, render, table, texts
+from invoicebench.rendering import DESCRIPTION, decimal, pages, pick, render, shared_folder, table, texts
 from parcelmill.functions.dictionaries import COST_CATEGORIES
 from parcelmill.functions.patterns import rows_of
 from parcelmill.operators.costs import shipment_currency, with_cost_items, with_cost_rows
@@ -31,7 +33,7 @@ def noise_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_has_tracking(spark: SparkSession, sf: str) -> DataFrame:
-    return page_tracking(pages(spark, sf))
+    return page_tracking(pages(spark, sf)).drop("has_start")
 
 
 def page_homes(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,6 +182,14 @@ def cost_categories(spark: SparkSession, sf: str) -> DataFrame:
     return pm.dict_match(described, "description", COST_CATEGORIES, "partial", 70.0, "best", "category")
 
 
+def dictionary_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the dictionary as a table."""
+    entries = [(key, value, place) for place, (key, value) in enumerate(COST_CATEGORIES.items())]
+    dictionary = spark.createDataFrame(entries, "key string, value string, ord int")
+    described = table(spark, sf, "lineitem").selectExpr(*LINE_KEY, f"{DESCRIPTION} as description")
+    return pm.dict_match(described, "description", dictionary, "partial", 70.0, "best", "category")
+
+
 def shipment_net(spark: SparkSession, sf: str) -> DataFrame:
     rows = with_cost_rows(pm.with_identifier(pm.segment(pages(spark, sf))))
     net = F.aggregate(
@@ -261,6 +271,17 @@ def shipments_json(spark: SparkSession, sf: str) -> DataFrame:
     return pm.invoice_json_lines(pm.extract_shipments(pages(spark, sf)))
 
 
+def shipments_json_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of the JSON documents as they are read back from the files."""
+    folder = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    pm.write_invoice_json(pm.extract_shipments(pages(spark, sf)), f"{folder}/documents", f"{folder}/records")
+    lines = spark.read.text(f"{folder}/documents").select("document", F.regexp_extract("value", r"^[\[,](\{.*\})\]?$", 1).alias("record"))
+    record = "identifier string, invoice_page int, shipment_date string, origin_country string, pallet_amount long, cost_items array<struct<mention string>>"
+    read = lines.select("document", F.from_json("record", record).alias("r"))
+    return read.select("document", "r.identifier", "r.invoice_page", "r.shipment_date", "r.origin_country", "r.pallet_amount",
+                       F.array_join("r.cost_items.mention", "|").alias("mentions"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -269,5 +290,6 @@ QUERIES = {
         dates_textual, dates_numeric, shipment_date, service_pattern, service_fuzzy, locations, weights,
         weights_keywords, weights_pair, cost_rows, cost_items, cost_currency, cost_categories, shipment_net,
         normalize_numbers, normalize_strings, normalize_countries, normalize_dates, shipments, shipments_json,
+        shipments_json_files, dictionary_table,
     )
 }

@@ -15,6 +15,7 @@ numbers 1, 4, 7, ...; the two page numbers after one are for what the last block
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -247,6 +248,14 @@ def rendered_pages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 _written: dict[tuple[str, str], str] = {}
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only in a local session without it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/") if folder else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,10 +17,24 @@ def matched(low: Column, dictionary: dict[str, str], score: str, threshold: floa
     return F.coalesce(native, similarity.fuzzy_match(open_text, dictionary, score, threshold, mode))
 
 
+MAX_ENTRIES = 10_000
+
+
+def _entries(dictionary: DataFrame) -> dict[str, str]:
+    """A dictionary table (key, value, ord) in order of `ord`; the first entry of a key counts."""
+    rows = dictionary.select("ord", "key", "value").orderBy("ord").limit(MAX_ENTRIES + 1).collect()
+    if len(rows) > MAX_ENTRIES:
+        raise ValueError(f"every text is scored against every key: a dictionary has at most {MAX_ENTRIES} entries")
+    found: dict[str, str] = {}
+    for row in rows:
+        found.setdefault(row["key"], row["value"])
+    return found
+
+
 def dict_match(
     df: DataFrame,
     col: str,
-    dictionary: dict[str, str],
+    dictionary: dict[str, str] | DataFrame,
     score: str = "partial",
     threshold: float = 70.0,
     mode: str = "best",
@@ -28,7 +42,10 @@ def dict_match(
 ) -> DataFrame:
     """Add the dictionary value that matches a text column, compared in lower case.
 
+    The dictionary maps keys to values in order, or is a table (key, value, ord); keys are of any length.
+
     `score` is `ratio` or `partial`. `mode='best'` takes the highest score of at least the threshold
     (the first entry on a tie), `mode='first'` the first entry with a score above the threshold.
     """
+    dictionary = _entries(dictionary) if isinstance(dictionary, DataFrame) else dictionary
     return df.withColumn(out, matched(F.lower(F.col(col)), dictionary, score, threshold, mode))

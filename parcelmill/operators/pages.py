@@ -23,7 +23,7 @@ def chunk_of(page_num: Column) -> Column:
 
 def has_tracking(text: Column) -> Column:
     """Whether a text holds a tracking number anywhere, in noise lines too."""
-    return F.rlike(text, F.lit(p.TRACKING))
+    return F.contains(text, F.lit("1Z")) & F.rlike(text, F.lit(p.TRACKING))
 
 
 def is_noise(low: Column) -> Column:
@@ -47,9 +47,16 @@ def page_lines(pages: DataFrame) -> DataFrame:
     )
 
 
+def has_start(text: Column) -> Column:
+    """Whether a block starts in a text: a tracking number on a line that is no noise."""
+    marked = F.filter(F.split(text, "\n"), lambda line: F.contains(line, F.lit("1Z")))
+    return F.exists(marked, lambda line: has_tracking(line) & ~is_noise(p.fold_case(line)))
+
+
 def page_tracking(pages: DataFrame) -> DataFrame:
-    """(invoice_id, page_num, has_tracking) per page."""
-    return pages.select("invoice_id", "page_num", has_tracking(F.col("text")).alias("has_tracking"))
+    """(invoice_id, page_num, has_tracking, has_start) per page."""
+    text = F.col("text")
+    return pages.select("invoice_id", "page_num", has_tracking(text).alias("has_tracking"), has_start(text).alias("has_start"))
 
 
 def _year_and_page(df: DataFrame, *keys: str) -> DataFrame:

@@ -43,13 +43,14 @@ def _started_blocks(pages: DataFrame) -> DataFrame:
     return cut.select("invoice_id", "page_num", started.alias("started"))
 
 
-def continuation_pages(pages: DataFrame) -> DataFrame:
-    """(invoice_id, page_num, home_page) of the pages without a tracking number after one with one."""
+def _continuations(pages: DataFrame) -> DataFrame:
+    """(invoice_id, page_num, home_page, home_starts): the pages without a tracking number after one with one, and
+    whether a block starts on that one."""
     keyed = page_tracking(pages).withColumn("page_chunk", chunk_of(F.col("page_num")))
     # Both uses of the flags below read this one exchange, so the texts are scanned for them only once. The
     # filter is the one that the join would add to either use.
     flags = keyed.filter("invoice_id is not null and page_chunk is not null").repartition("invoice_id", "page_chunk")
-    tracking_page = F.when(F.col("has_tracking"), F.col("page_num"))
+    tracking_page = F.when(F.col("has_tracking"), F.struct("page_num", "has_start"))
     in_chunk = Window.partitionBy("invoice_id", "page_chunk").orderBy("page_num").rowsBetween(Window.unboundedPreceding, 0)
     near = flags.withColumn("near_home", F.last(tracking_page, ignorenulls=True).over(in_chunk))
 
@@ -59,7 +60,13 @@ def continuation_pages(pages: DataFrame) -> DataFrame:
 
     homed = near.filter(~F.col("has_tracking")).join(carried, ["invoice_id", "page_chunk"])
     home = F.coalesce("near_home", "far_home")
-    return homed.select("invoice_id", "page_num", home.alias("home_page")).filter("home_page is not null")
+    homed = homed.select("invoice_id", "page_num", home.alias("home")).filter("home is not null")
+    return homed.select("invoice_id", "page_num", F.col("home.page_num").alias("home_page"), F.col("home.has_start").alias("home_starts"))
+
+
+def continuation_pages(pages: DataFrame) -> DataFrame:
+    """(invoice_id, page_num, home_page) of the pages without a tracking number after one with one."""
+    return _continuations(pages).drop("home_starts")
 
 
 def _tails(pages: DataFrame) -> DataFrame:
@@ -67,7 +74,9 @@ def _tails(pages: DataFrame) -> DataFrame:
     continued = pages.filter(~has_tracking(F.col("text"))).select(
         "invoice_id", "page_num", _kept_text(F.col("text")).alias("text")
     )
-    parts = continued.join(continuation_pages(pages), ["invoice_id", "page_num"]).groupBy("invoice_id", "home_page")
+    # What follows a page on which no block starts belongs to none: its texts are not moved.
+    wanted = _continuations(pages).filter("home_starts").drop("home_starts")
+    parts = continued.join(wanted, ["invoice_id", "page_num"]).groupBy("invoice_id", "home_page")
     joined = parts.agg(F.sort_array(F.collect_list(F.struct("page_num", "text")))["text"].alias("texts"))
     tail = F.array_join(F.array_remove("texts", ""), "\n")
     return joined.select("invoice_id", F.col("home_page").alias("page_num"), tail.alias("tail"))

@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 import parcelmill as pm
 from invoicebench import rendering
+from invoicebench.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -29,7 +30,7 @@ def no_broadcast(spark):
 
 
 def test_no_query_pairs_rows_without_a_key(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan(query(spark, SF))), name
 
 
@@ -69,3 +70,9 @@ def test_field_operators_need_no_shuffle(spark):
     documents = rendering.table(spark, SF, "documents").select("doc_id", "text")
     for operator in (pm.with_identifier, pm.with_service, pm.with_locations, pm.with_weights, pm.cost_items):
         assert "Exchange" not in plan(operator(documents)), operator.__name__
+
+
+def test_each_python_step_and_each_cascade_runs_once(spark):
+    documents = rendering.table(spark, SF, "documents").select("doc_id", "text")
+    assert plan(pm.with_service(documents)).count("ArrowEvalPython") == 1
+    assert plan(pm.with_identifier(documents)).count("1Z[0-9A-Z]{8,20}") == 1
