@@ -27,6 +27,7 @@ BITS = 14
 EFFECTIVE = 30
 UNDETERMINED = "und"
 UND_PRIOR = 0.01
+FOREIGN = 0.1  # share of names, numbers and keys in a text of any language: their trigrams may be any
 STRENGTH = 10.0  # of the smoothing: as many rows' weight has what a group is smoothed towards
 
 #: Letters as they are, everything else a blank.
@@ -55,7 +56,8 @@ class TextModel:
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
         smooth = counts + 0.5
-        known = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+        smooth = smooth / smooth.sum(axis=1, keepdims=True)
+        known = np.log((1 - FOREIGN) * smooth + FOREIGN / (1 << BITS))
         self.chances = np.vstack((known, np.full((1, 1 << BITS), -BITS * np.log(2))))
 
 
