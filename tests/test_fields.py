@@ -6,7 +6,7 @@ from dateutil.parser import parse
 from pyspark.sql import functions as F
 
 import parcelmill as pm
-from parcelmill.operators import dates
+from parcelmill.operators import costs, dates
 from parcelmill.operators.costs import with_cost_items
 from parcelmill.operators.identifiers import identifier
 from parcelmill.operators.locations import line_kind
@@ -248,3 +248,25 @@ def test_golden_cost_rows(spark):
 def test_cost_rules(spark, text, expected):
     (row,) = with_cost_items(texts(spark, [text])).collect()
     assert [tuple(item)[:3] for item in row.cost_items] == expected
+
+
+COST_ROW = re.compile(
+    r"^([A-Za-zÄÖÜäöüß0-9\-.()/ ,]+?)\s+((?:[0-9]{1,3}(?:\.[0-9]{3})*,[0-9]{1,2}\s+)+[0-9]{1,3}(?:\.[0-9]{3})*,[0-9]{1,2})$"
+)
+
+
+def test_cost_rows_equal_a_plain_parser(spark):
+    draw = random.Random(5)
+    words = ["Maut", "1,00", "12,5", "1.234,56", "1234,5", "a", "(x)", "é", "-", "2.00"]
+    texts = ["".join(draw.choice(words) + draw.choice([" ", " ", "  ", "\t", ""]) for _ in range(draw.randrange(1, 8))).strip() for _ in range(2000)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in frame.select("i", costs._parsed_rows(F.col("text")).alias("rows")).collect():
+        m = COST_ROW.match(texts[r.i])
+        want = [(m[1].strip(), float(m[2].split()[-1].replace(".", "").replace(",", ".")))] if m else []
+        assert [(x.description, x.total_cost_in_shipment_currency) for x in r.rows] == want, texts[r.i]
+
+
+def test_cost_rows_of_any_length(spark):
+    texts = ["Maut " + "1,00 " * 100_000, "Maut 1" + ".000" * 100_000 + ",00 1,00 2,00"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [len(r[0]) for r in frame.select(costs._parsed_rows(F.col("text"))).collect()] == [1, 1]

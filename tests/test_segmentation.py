@@ -4,7 +4,7 @@ import re
 import pytest
 
 import parcelmill as pm
-from parcelmill.operators import pages as page_ops
+from parcelmill.operators import pages as page_ops, segmentation
 from parcelmill.operators.segmentation import continuation_pages
 
 TRACKED = re.compile(r"\b1Z[0-9A-Z]{8,18}\b")
@@ -92,3 +92,11 @@ def test_year_comes_from_the_lowest_page_with_one(spark, monkeypatch):
     assert {r.invoice_id: r.invoice_year for r in pm.invoice_year(table).collect()} == {"I": 2024, "J": None}
     keyed = {(r.invoice_id, r.page_chunk): r.invoice_year for r in page_ops.chunk_year(table).collect()}
     assert keyed == {("I", 0): 2024, ("I", 1): 2024, ("I", 2): 2024, ("I", 4): 2024, ("J", 0): None}
+
+
+def test_texts_after_a_page_without_a_start_are_not_moved(spark):
+    rows = [("A", 1, "Rechnung zu 1Z12345678"), *[("A", i, f"appendix {i}") for i in range(2, 9)], ("A", 9, "1Z87654321"), ("A", 10, "more")]
+    pages = spark.createDataFrame(rows, "invoice_id string, page_num int, text string")
+    assert [(r.invoice_page, r.text) for r in pm.segment(pages).collect()] == [(9, "1Z87654321\nmore")]
+    moved = segmentation._tails(pages).collect()
+    assert [(r.page_num, r.tail) for r in moved] == [(9, "more")]

@@ -1,12 +1,14 @@
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import Row
 
 import parcelmill as pm
-from parcelmill.functions.registry import Country, iso_countries
+from parcelmill.functions.registry import Country, iso_countries, read_registry
 from parcelmill.plans.shipments import RECORD
+from test_similarity import partial_ratio, ratio
 
 PAGES = [
     ("A.pdf", 1, "Rechnung 2025\n27.Nov 1Z8028100495457854 WW Express Saver 1 2,0\nEmpfänger: 33900 HONG KONG\n"
@@ -110,12 +112,56 @@ def test_registry_can_be_passed(spark):
     raw = spark.createDataFrame([("756",), ("Swiss Confederation",), ("de",)], "origin_country string")
     registry = [Country("CH", "CHE", "756", "Switzerland", None, "Swiss Confederation")]
     assert [r[0] for r in pm.normalize(raw, registry).collect()] == ["CH", "CH", "DE"]
-    with pytest.raises(ValueError):
-        pm.normalize(raw, registry * 1001)
+    assert [r[0] for r in pm.normalize(raw, registry * 1001).collect()] == ["CH", "CH", "DE"]
     codes = {c.alpha_2: c for c in iso_countries(spark)}
     assert codes["CH"][:2] == ("CH", "CHE") and codes["TR"].name == "Türkiye" and len(codes) > 240
 
 
-def test_dict_match_rejects_long_keys(spark):
-    with pytest.raises(ValueError):
-        pm.dict_match(spark.createDataFrame([("a",)], "t string"), "t", {"k" * 65: "v"})
+def test_registry_fields_and_files(spark, tmp_path):
+    spelt = ["276", "Vietnam", "taiwan", "Bolivia", "Federal Republic of Germany", "United States of America", "Cabo Verde", "nowhere"]
+    raw = spark.createDataFrame([(i, s) for i, s in enumerate(spelt)], "i int, origin_country string")
+    found = {r.i: r.origin_country for r in pm.normalize(raw).collect()}
+    assert [found[i] for i in range(len(spelt))] == ["DE", "VN", "TW", "BO", "DE", "US", "CV", "NOWHERE"]
+    file = tmp_path / "countries.csv"
+    file.write_text("alpha_2,alpha_3,numeric,name,common_name,official_name\nXY,XYZ,999,Nowhere,,\n", encoding="utf-8")
+    assert read_registry(str(file)) == [Country("XY", "XYZ", "999", "Nowhere", None, None)]
+
+
+def test_short_years_times_and_grouped_digits(spark):
+    spelt = {
+        "27.11.25": "2025-11-27", "27/11/25": "2025-11-27", "27-11-25": "2025-11-27", "27 Nov 25": "2025-11-27", "11/27/25": "2025-11-27",
+        "2025-11-27 10:00:00": "2025-11-27", "2025-11-27T10:00": "2025-11-27", "27.11.80": "1980-11-27", "29.02.96": "1996-02-29",
+        "31.02.25": None, "2025-11-27 25:00": None,
+    }
+    dates = pm.normalize(spark.createDataFrame([(s, s) for s in spelt], "raw string, shipment_date string")).collect()
+    assert {r.raw: r.shipment_date and str(r.shipment_date) for r in dates} == spelt
+    counts = {"1_000": 1000, "1__0": None, "_1": None, "1_": None, "+12": 12}
+    numbers = pm.normalize(spark.createDataFrame([(s, s) for s in counts], "raw string, pallet_amount string")).collect()
+    assert {r.raw: r.pallet_amount for r in numbers} == counts
+
+
+def test_invoices_of_one_document_name_share_its_array(spark, tmp_path):
+    rows = [(name, page, f"1Z000000000{page}{name[0]}\nTransport 1,00 2,00") for name in ("A", "A.pdf", "B.pdf") for page in (1, 2)]
+    pages = pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string"))
+    pm.write_invoice_json(pm.extract_shipments(pages), str(tmp_path / "json"), str(tmp_path / "records"))
+    folders = sorted(p for p in (tmp_path / "json").iterdir() if p.is_dir())
+    assert [f.name for f in folders] == ["document=A_extracted.json", "document=B_extracted.json"]
+    read = [json.loads("".join(p.read_text(encoding="utf-8") for p in sorted(f.glob("part-*")))) for f in folders]
+    assert [[r["invoice_page"] for r in records] for records in read] == [[1, 2, 1, 2], [1, 2]]
+
+
+def test_dict_match_takes_keys_of_any_length_and_tables(spark):
+    draw = random.Random(8)
+    key = "".join(draw.choice("abcde ") for _ in range(200))
+    texts = ["".join(c for c in key if draw.random() > 0.1), "x" + key[20:190], key[:90], "none of it", "", key + key]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    entries = [(key, "long", 1), ("none", "short", 2), (key, "again", 3)]
+    table = spark.createDataFrame(entries, "key string, value string, ord int")
+    for score, plain in (("ratio", ratio), ("partial", partial_ratio)):
+        want = {}
+        for i, t in enumerate(texts):
+            scored = [(plain(k, t), v) for k, v in ((key, "long"), ("none", "short"))]
+            best = max(s for s, _ in scored)
+            want[i] = next(v for s, v in scored if s == best) if best >= 70 else None
+        for dictionary in ({key: "long", "none": "short"}, table):
+            assert {r.i: r.match for r in pm.dict_match(frame, "t", dictionary, score, 70.0).collect()} == want
