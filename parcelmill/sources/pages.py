@@ -15,11 +15,12 @@ PAGE_SCHEMA = StructType(
 
 
 def as_pages(df: DataFrame) -> DataFrame:
-    """Page table of a DataFrame: a missing text becomes empty, every line break a line feed."""
+    """Page table of a DataFrame: a missing text or invoice becomes empty, a missing page number 0, every line
+    break a line feed. So pages without an invoice are one invoice, and no later join loses them."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return df.select(
-        F.col("invoice_id").cast("string").alias("invoice_id"),
-        F.col("page_num").cast("int").alias("page_num"),
+        F.coalesce(F.col("invoice_id").cast("string"), F.lit("")).alias("invoice_id"),
+        F.coalesce(F.col("page_num").cast("int"), F.lit(0)).alias("page_num"),
         F.regexp_replace(text, "\r\n?", "\n").alias("text"),
     )
 
