@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parcelmill.llm import decontam, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
 
@@ -52,6 +52,11 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _of_kind(kind: str) -> Column:
+    """How many of the spans found are of a kind."""
+    return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+
 @_query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document."""
@@ -59,7 +64,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE))
     return found.select(
         "row.doc_id",
-        *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        *[_of_kind(kind).alias(f"n_{kind}") for kind in pii.BASE],
         F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("found")).alias("spans"),
     )
 

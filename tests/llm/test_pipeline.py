@@ -1,5 +1,6 @@
 """The registered queries against their oracles, and the pipeline stage by stage against brute force."""
 
+import hashlib
 import re
 from collections import Counter
 
@@ -13,7 +14,7 @@ from parcelmill.llm.queries import QUERIES
 from parcelmill.llm import pii
 from parcelmill.llm.scratch import stored
 from tables import documents, hard_rows, prose
-from test_text_operators import SHINGLE, UP, ITEM, brute_components, brute_hits
+from test_text_operators import SHINGLE, UP, ITEM, brute_components, brute_hits, brute_pii
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,7 +35,16 @@ def test_query_covers_its_table(spark, name):
     key = next(c for c in ("doc_id", "page_id", "query_id") if c in rows.columns)
     of = {"doc_id": "documents", "page_id": "pages", "query_id": "embeddings"}[key]
     want = spark.read.parquet(f"{SF}/{of}.parquet").filter("vec_id % 50 = 0" if of == "embeddings" else "true").count()
-    assert rows.select(key).distinct().count() == want
+    assert len({r[key] for r in rows.collect()}) == want
+
+
+def test_personal_data_of_the_query(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    for r in QUERIES["op4_pii"](spark, SF).collect():
+        want = brute_pii(texts[r.doc_id])
+        listed = ",".join(f"{pii.KINDS[kind]}:{start}:{end}" for start, kind, end in want)
+        assert [r[f"n_{kind}"] for kind in pii.BASE] == [sum(x[1] == i for x in want) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(listed.split(",")) - {""} <= set(r.spans.split(","))
 
 
 def _texts(df):
