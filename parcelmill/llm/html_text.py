@@ -4,7 +4,8 @@ Markup is stripped into lines: a block element or line break ends a line. Elemen
 or id that they are menus, adverts, forms and the like give lines of weight 0, other lines weigh as many characters as they
 have outside links. The weights are summed over a window of `WINDOW` lines. Text surges where the sum rises above the
 threshold and dives where it falls to 0; the lines with weight between a surge and the next dive are the main text.
-On pages with an `article` or `main` element only its lines have weight, and any weight is a surge.
+In an `article` or `main` element any weight is a surge, and fewer than `WINDOW` lines of links in a row weigh too, as headlines
+do; its end is a dive. The lines outside keep their weights: a page whose articles are teasers gives its body as well.
 """
 
 from __future__ import annotations
@@ -159,18 +160,30 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     return out.lines
 
 
+def _weights(all_lines: list[tuple[str, int, bool]]) -> list[int]:
+    out, run = [], 0  # run: lines of links up to here
+    for i, (text, free, marked) in enumerate(all_lines):
+        out.append(free if 2 * free >= len(text) else 0)
+        run = run + 1 if marked and not out[-1] else 0
+        following = all_lines[i + 1] if i + 1 < len(all_lines) else ("", 0, False)
+        if 0 < run < WINDOW and not (following[2] and 2 * following[1] < len(following[0])):
+            out[i + 1 - run :] = [len(t) for t, _, _ in all_lines[i + 1 - run : i + 1]]
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The lines between surges and dives, joined by spaces; empty if there are none."""
     all_lines = lines(page) if page else []
     if not all_lines:
         return ""
-    marked = any(m for _, _, m in all_lines)
-    weight = np.array([(len(text) if m else 0) if marked else (free if 2 * free >= len(text) else 0) for text, free, m in all_lines])
+    weight = _weights(all_lines)
     sums = np.convolve(weight, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of a line and the next ones
-    surge = 0 if marked else min(SURGE, sums.max() / 2)
-    keep, inside = [], False
-    for (text, _, _), w, total in zip(all_lines, weight.tolist(), sums.tolist()):
-        inside = (inside or total > surge) and total > 0
+    surge = min(SURGE, sums.max() / 2)
+    keep, inside, within = [], False, False
+    for (text, _, marked), w, total in zip(all_lines, weight, sums.tolist()):
+        inside = inside and (marked or not within)
+        inside = (inside or total > (0 if marked else surge)) and total > 0
+        within = marked
         if inside and w:
             keep.append(text)
     return " ".join(keep)

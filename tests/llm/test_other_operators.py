@@ -150,6 +150,18 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_the_method_decides_on_pages_with_articles():
+    body = [("word " * 60).strip(), ("more " * 60).strip()]
+    cards = "<div class=cards>" + "<article><h3><a href=x>Teaser</a></h3></article>" * 4 + "</div>"
+    assert html_text.main_text(f"<div><p>{body[0]}</p><p>{body[1]}</p></div>{cards}") == " ".join(body)
+    card = "<div class=cards><article><p>A short teaser</p></article></div>"
+    assert html_text.main_text(f"<div><p>{body[0]}</p></div>{card}<div><p>{body[1]}</p></div>") == f"{body[0]} A short teaser {body[1]}"
+    menu = "<ul>" + "<li><a href=x>menu</a></li>" * 5 + "</ul>"
+    assert html_text.main_text(f"<main>{menu}<h1><a href=x>Title</a></h1><p>{body[0]}</p></main><p>(c)</p>").endswith(body[0])
+    assert html_text.main_text(f"<main>{menu}<p>{body[0]}</p></main>") == body[0]
+    assert html_text.main_text(f"<main><h1><a href=x>Title</a></h1><p>{body[0]}</p><p>ok</p></main><p>(c)</p>") == f"Title {body[0]} ok"
+
+
 def test_lines_far_from_text_are_left_out():
     page = "<p>skip to</p>" + "<div></div><p>x</p>" * 4 + "<p>" + "word " * 60 + "</p><p>" + "more " * 60 + "</p>" + "<p><a href=x>link link link</a></p>" * 4 + "<p>end</p>"
     assert html_text.main_text(page).endswith(("more " * 60).strip()) and "link" not in html_text.main_text(page)
