@@ -1,8 +1,8 @@
 """Main text of HTML pages by the distribution of text over lines.
 
 Markup is stripped into lines: a block element or line break ends a line. Elements that say by their name, role, class
-or id that they are menus, adverts, forms and the like give lines of weight 0, other lines weigh as many characters as they
-have outside links. The weights are summed over a window of `WINDOW` lines. Text surges where the sum rises above the
+or id that they are menus, adverts, forms and the like are set apart, unless nothing else has text; an `article` or `main`
+in them counts again. Other lines weigh as many characters as they have outside links. The weights are summed over a window of `WINDOW` lines. Text surges where the sum rises above the
 threshold and dives where it falls to 0; the lines with weight between a surge and the next dive are the main text.
 In an `article` or `main` element any weight is a surge, and fewer than `WINDOW` lines of links in a row weigh too, as headlines
 do; its end is a dive. The lines outside keep their weights: a page whose articles are teasers gives its body as well.
@@ -14,6 +14,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,10 @@ _words = lambda text: frozenset(text.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
 INLINE = _words(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter q s samp small span strike "
-    "strong sub sup time tt u var wbr"
+    "strong sub sup time tt u var wbr object math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder "
+    "mover munderover mmultiscripts mtable mtr mtd mstyle mpadded mphantom menclose merror semantics annotation annotation-xml"
 )
-RAW = _words("script style noscript template iframe svg title textarea select math object canvas noframes noembed xmp")
+RAW = _words("script style noscript template iframe svg title textarea select canvas noframes noembed xmp annotation annotation-xml")
 APART = _words("head nav footer aside form button dialog menu fieldset")  # never main text
 MARKED = _words("article main")
 SIGNS = _words(
@@ -37,29 +39,74 @@ SIGNS = _words(
     "footer comment comments commentlist disqus reply replies respond share sharing social related recommended widget toolbar "
     "pagination pager masthead topbar copyright disclaimer alert complementary contentinfo search"
 )
+#: A class, id or role is a sign if each of its parts is a sign, or a place before or a part after one: site-footer, share-buttons.
+PLACES = _words("site page main global top bottom left right primary secondary mobile desktop post entry article blog wp c l o js")
+PIECES = _words(
+    "left right top bottom primary secondary main box bar list item items link links button buttons icon icons block area section "
+    "container wrapper wrap inner outer panel content form field input posts articles stories media slot unit group row col text title "
+    "heading body card cards tabs toggle message info policy inline"
+)
+LEADING = _words("sidebar footer nav navbar breadcrumb breadcrumbs cookie cookies advert advertisement masthead topbar pagination")  # of a class
+STATES = _words("open opened active visible shown enabled disabled collapsed expanded closed hidden fixed layout free")
+MODIFIERS = _words("has no non not with without is hide")
+TALK = _words("comment comments commentlist disqus reply replies respond")
+#: Words that an article may use for its own sections and boxes.
+OWN = _words("alert notice disclaimer copyright search banner overlay modal menu promo promotion widget toolbar popup")
+HEADINGS = _words("h1 h2 h3 h4 h5 h6")
+BY_SIGN, BY_NAME, NEVER = 1, 2, 3  # why an element is apart: only the first two may hold an article or be the text of a page
 UNCLOSED = ("nav", "header", "form")
 
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _REST = re.compile(r"(?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+>")
-_SIGN = re.compile(r"(?<![a-zA-Z-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_SIGN = re.compile(r"(?<![a-zA-Z-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+@lru_cache(1 << 14)
+def _sign(name: str, kind: str) -> str:
+    """The word by which a class, id or role is a sign; empty if it is none."""
+    parts = _PARTS.findall(_CAMEL.sub(" ", name).lower())
+    whole = "".join(parts)
+    if whole in SIGNS or whole == "header":
+        return whole
+    at = 0
+    while at < len(parts) - 1 and parts[at] in PLACES:
+        at += 1
+    rest = parts[at:]
+    if not rest or not (rest[0] in SIGNS or rest[0] == "header") or rest[-1] in STATES or not MODIFIERS.isdisjoint(rest):
+        return ""
+    if (kind == "class" and rest[0] in LEADING) or all(p in SIGNS or p in PIECES or p.isdigit() or len(p) == 1 for p in rest[1:]):
+        return rest[0]
+    return ""
+
+
+def _signs(attributes: str, marked: bool) -> set[str]:
+    """The signs of an element. In an article, an id is the address of a section and says less than a class."""
+    out = set()
+    for m in _SIGN.finditer(attributes):
+        kind = m[1].lower()
+        for name in (m[2] or m[3] or m[4] or "").split():
+            sign = _sign(name, kind)
+            if sign and not (marked and (sign in OWN or (kind == "id" and sign not in LEADING and sign not in TALK))):
+                out.add(sign)
+    return out
+
+
 class _Lines:
-    """The lines of a page: text, characters outside links, whether in a marked element."""
+    """The lines of a page: text, characters outside links, whether in a marked element, why they are apart (0: not)."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []
         self.parts: list[str] = []
         self.free = 0
-        self.open: list[tuple[str, bool, bool]] = []  # block elements: name, apart, marked (of it or one around it)
+        self.open: list[tuple[str, int, bool]] = []  # block elements: name, apart, marked (of it or one around it)
         self.count: Counter[str] = Counter()  # of open elements by name
         self.link = False
 
     def text(self, raw: str) -> None:
-        if self.open and self.open[-1][1]:
+        if self.open and self.open[-1][1] == NEVER:
             return
         text = html.unescape(raw)
         self.parts.append(text)
@@ -70,7 +117,8 @@ class _Lines:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append((text, self.free, bool(self.open and self.open[-1][2])))
+                apart, marked = self.open[-1][1:] if self.open else (0, False)
+                self.lines.append((text, self.free, marked, apart))
             self.parts, self.free = [], 0
 
     def start(self, name: str, attributes: str) -> None:
@@ -86,17 +134,18 @@ class _Lines:
         if name in MARKED:  # a menu, header or form that was never closed does not hold the article
             while any(self.count[x] for x in UNCLOSED):
                 self._pop()
-        apart, marked = self.open[-1][1:] if self.open else (False, False)
-        if not apart:
-            signs = frozenset()
-            if attributes:
-                signs = {p for m in _SIGN.finditer(attributes) for p in _PARTS.findall(_CAMEL.sub(" ", m[1] or m[2] or m[3] or "").lower())}
-            if name in MARKED:
-                apart = bool(signs & {"comment", "comments"})
-            elif name not in ("html", "body"):
-                apart = name in APART or bool(signs & SIGNS) or bool(_HIDDEN.search(attributes))
-                apart = apart or (not marked and (name == "header" or "header" in signs))  # in an article it holds the headline
-        self.open.append((name, apart, marked or (name in MARKED and not apart)))
+        apart, marked = self.open[-1][1:] if self.open else (0, False)
+        if name in MARKED:
+            signs = _signs(attributes, False) if attributes else set()
+            apart = NEVER if apart == NEVER or not signs.isdisjoint(TALK) else 0
+        elif apart != NEVER and name not in ("html", "body"):
+            signs = _signs(attributes, marked) if attributes and name not in HEADINGS else set()
+            if name == "head" or not signs.isdisjoint(TALK) or (attributes and _HIDDEN.search(attributes)):
+                apart = NEVER
+            elif not apart:
+                header = not marked and (name == "header" or "header" in signs)  # in an article it holds the headline
+                apart = BY_NAME if name in APART or name == "header" and header else BY_SIGN if header or signs - {"header"} else 0
+        self.open.append((name, apart, not apart and (marked or name in MARKED)))
         self.count[name] += 1
 
     def _pop(self) -> None:
@@ -114,8 +163,8 @@ class _Lines:
             self._pop()
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """The lines of a page in order: (text, characters outside links, in a marked element)."""
+def lines(page: str) -> list[tuple[str, int, bool, int]]:
+    """The lines of a page in order: (text, characters outside links, in a marked element, apart)."""
     out, at, quoted, ended = _Lines(), 0, True, set()
     while (tag := page.find("<", at)) >= 0:
         if tag > at:
@@ -172,8 +221,16 @@ def _weights(all_lines: list[tuple[str, int, bool]]) -> list[int]:
 
 
 def main_text(page: str | None) -> str:
-    """The lines between surges and dives, joined by spaces; empty if there are none."""
+    """The main text, of what is set apart if there is no other; empty if there is none."""
     all_lines = lines(page) if page else []
+    for most in (0, BY_SIGN, BY_NAME):
+        if text := _text([line[:3] for line in all_lines if line[3] <= most]):
+            return text
+    return ""
+
+
+def _text(all_lines: list[tuple[str, int, bool]]) -> str:
+    """The lines between surges and dives, joined by spaces."""
     if not all_lines:
         return ""
     weight = _weights(all_lines)

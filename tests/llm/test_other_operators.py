@@ -162,6 +162,19 @@ def test_the_method_decides_on_pages_with_articles():
     assert html_text.main_text(f"<main><h1><a href=x>Title</a></h1><p>{body[0]}</p><p>ok</p></main><p>(c)</p>") == f"Title {body[0]} ok"
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='layout has-sidebar'><main>text</main></div>", "text"), ("<div class='page no-footer'><p>text</p></div>", "text"),
+    ("<div class='modal-open'><p>text</p></div>", "text"), ("<div class=modal><article>text</article></div>", "text"),
+    ("<form><p>" + "word " * 60 + "</p></form>", ("word " * 60).strip()), ("<div class=overlay><p>text</p></div>", "text"),
+    *[(f"<article><h2 id={i}>Head</h2><section id={i}><p>text</p></section></article>", "Head text") for i in ("related-work", "social-impact", "search-algorithms", "copyright-law")],
+    ("<article><p class=alert>Mind this</p><p>E is <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> here<object data=x>a figure</object></p></article>", "Mind this E is mc2 herea figure"),
+    ("<div><p>text</p><div class='site-footer'>a</div><div class='sidebar-left'>b</div><div id=shareButtons>c</div><div class=ad-300x250>d</div><ul class=main-nav><li>e</ul></div>", "text"),
+    ("<p>text</p><div hidden><article>x</article></div><div class=post-comments><article>y</article></div>", "text"), ("<div hidden><p>x</p></div>", ""),
+])
+def test_only_boilerplate_is_set_apart(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_lines_far_from_text_are_left_out():
     page = "<p>skip to</p>" + "<div></div><p>x</p>" * 4 + "<p>" + "word " * 60 + "</p><p>" + "more " * 60 + "</p>" + "<p><a href=x>link link link</a></p>" * 4 + "<p>end</p>"
     assert html_text.main_text(page).endswith(("more " * 60).strip()) and "link" not in html_text.main_text(page)
