@@ -36,7 +36,17 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ ]?[A-Z0-9])")
+_IBAN_TOKEN = re.compile(r"[ ]?[A-Z0-9]+")
+_IBAN_LENGTH = {
+    c: int(n)
+    for n, of in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+        "23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+        "28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+    ).split())
+    for c in of.split(",")
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 
@@ -61,6 +71,25 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """An IBAN ends where a token does: at its country's length or else at the last one within 34 characters, where no length is known at the last that passes."""
+    end = 0
+    for m in _IBAN.finditer(text):
+        if m.start() < end:
+            continue
+        code, ends, at = m[0], [], m.end()
+        while len(code) < 34 and (token := _IBAN_TOKEN.match(text, at, at + 35 - len(code))):
+            code, at = code + token[0].lstrip(" "), token.end()
+            if 15 <= len(code) <= 34 and not (at < len(text) and text[at].isascii() and text[at].isalnum()):
+                ends.append((len(code), at))
+        known = _IBAN_LENGTH.get(m[0][:2])
+        for size, stop in [e for e in ends if e[0] == known] + (ends[-1:] if known else ends[::-1]):
+            if mod97(code[:size]):
+                end = stop
+                yield m.start(), end
+                break
+
+
 def proposals(text: str) -> Iterator[tuple[int, int, int]]:
     """(start, number of the kind, end) of everything that fits a pattern and passes its check."""
     for start, end in _emails(text):
@@ -77,10 +106,8 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
         for m in _PHONE.finditer(text):
             if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield m.start(), 3, m.end()
-    for m in _IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield m.start(), 4, m.end()
+    for start, end in _ibans(text):
+        yield start, 4, end
     for m in _SSN.finditer(text):
         yield m.start(), 5, m.end()
 

@@ -226,6 +226,16 @@ def test_checksums_and_context():
     assert pii.spans("card 4111111111111111")[0]["score"] > pii.spans("4111111111111111")[0]["score"]
 
 
+def test_ibans_end_before_following_tokens():
+    found = lambda text: [text[s["start"] : s["end"]] for s in pii.spans(text) if s["kind"] == "iban"]
+    for code in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "ZZ22 3704 0044 0532 0130 00"):
+        for rest in ("", " BIC COBADEFFXXX", " EUR 500", " 500", " 1 234 567 890 123 456 789", " A", " and more", ", EUR", " " + "X" * 60):
+            assert found(f"IBAN {code}{rest}") == [code], (code, rest)
+    assert found("IBAN DE89370400440532013000 GB82WEST12345698765432 EUR 5") == ["DE89370400440532013000", "GB82WEST12345698765432"]
+    assert found("IBAN DE88 3704 0044 0532 0130 00 EUR 5") == [] and found("IBAN DE89370400440532013000x") == []
+    pii.spans("DE89 " * 60000)
+
+
 @pytest.mark.parametrize("text", ["1" * 300000, "a." * 150000 + "@", "+1 " * 100000, "@a." * 100000, "1-" * 150000])
 def test_long_runs_take_linear_time(text):
     pii.spans(text)
