@@ -185,6 +185,17 @@ def test_repeats_equal_brute_force(spark, monkeypatch, part, piece):
     assert sorted([(r[0], r[1], [(s["start"], s["end"]) for s in r[2]], r[3]) for r in found], key=repr) == brute_repeats(rows)
 
 
+def test_runs_of_one_document_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART", 50)
+    size = 60000
+    wanted = [{"start": i, "size": size} for i in range(size)]
+    schema = "id long, tk long, text string, wanted array<struct<start:int,size:int>>"
+    padding = suffix_dedup._shared_runs(spark.createDataFrame([(1, 2, "x" * size, wanted)], schema)).collect()
+    assert sum(r.string is not None for r in padding) == 1 and len(padding) == 2
+    runs = suffix_dedup._shared_runs(spark.createDataFrame([(1, 2, prose(7, 12000)[:size], wanted)], schema)).filter("string is not null")
+    assert runs.select("part").distinct().count() > 300
+
+
 def test_repeats_of_an_empty_table(spark):
     assert suffix_dedup.remove_repeats(documents(spark, []), "doc_id").count() == 0
 
