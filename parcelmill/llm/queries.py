@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import decontam, harmonic, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -117,3 +117,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file, at the same place on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4,096 tokens."""
+    found = harmonic.pack_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return found.select(
+        F.col("document").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
