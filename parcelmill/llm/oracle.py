@@ -53,3 +53,21 @@ select page_id, n as payload_bytes, s.sha as payload_digest,
     case when page_id < last and n >= 1000 then 'revisit' else 'response' end as record_type,
     case when page_id < last and n >= 1000 then last end as refers_to
 from s left join g on s.sha = g.sha"""
+
+ORACLE["op12_hard_negative_mining"] = """
+with r as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+    select a.vec_id as anchor_id, b.vec_id as other, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score
+    from r a join r b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 50 = 0),
+p as (
+    select anchor_id, other as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, other)::int as rank,
+    other as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not same and 100 * score between 50 * positive_score and 95 * positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, other) <= 3"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, harmonic, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import decontam, fagin, harmonic, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -133,3 +133,11 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("document").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@_query
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return fagin.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
