@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parcelmill.llm import decontam, fagin, harmonic, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
+from parcelmill.llm import align, decontam, fagin, harmonic, html_text, langid, mih, minhash, packing, pii, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -141,3 +141,12 @@ def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return fagin.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of each document by two tokenizers, aligned, and how common its links are."""
+    files = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = align.links(table(spark, sf_dir, "documents"), *files, keep={"groups_sha256": digest})
+    return found.withColumnRenamed("document", "doc_id").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -1,7 +1,7 @@
 """Token ids of many texts, encoded word by word.
 
 The tokenizers used here never make a token of two words, so the ids of a text are those of its words one after another.
-Words repeat: a worker keeps the ids of up to `KNOWN` words that it has met and encodes only the others. Texts are taken in
+Words repeat: a worker keeps the ids of up to `KNOWN` words that it has met, first of all those met again, and encodes only the others. Texts are taken in
 portions of about `PORTION` characters, and a longer text in several, cut at spaces; so what is held at once does not grow
 with a text, a table or a vocabulary.
 """
@@ -9,6 +9,7 @@ with a text, a table or a vocabulary.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -17,21 +18,24 @@ import pyarrow as pa
 PORTION = 1 << 18  # characters
 KNOWN = 300_000  # words
 _LONG = 64  # longer words are not kept
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Words:
     """What `encode` makes of words; it gets a list of words and returns a list of values."""
 
     def __init__(self, encode: Callable[[list[str]], list], known: int = KNOWN):
-        self.encode, self.most, self.known = encode, known, {}
+        self.encode, self.most, self.known, self.again = encode, known, {}, set()
 
     def __call__(self, texts: list[list[str]]) -> list[list]:
         """The values of the words of each text."""
         met = set(chain.from_iterable(texts))
-        new = met - self.known.keys()
-        if len(self.known) + len(new) > self.most:
-            self.known, new = {}, met
-        new = list(new)
+        old = met & self.known.keys()
+        new = list(met - old)
+        self.again |= old
+        if len(self.known) + len(new) > self.most:  # keep what was met again since the last time, if that is little enough
+            kept = self.again if len(self.again) < self.most // 2 else old
+            self.known, self.again = {word: self.known[word] for word in kept}, set()
         self.known.update(zip(new, self.encode(new)))
         out = [list(map(self.known.__getitem__, words)) for words in texts]
         for word in new:
@@ -40,12 +44,23 @@ class Words:
         return out
 
 
+_kept: dict = {}
+
+
+def once(make: Callable, *key):
+    """make(*key), made once in a Python worker: the next task of the worker knows the words of the last."""
+    if (make, key) not in _kept:
+        _kept.clear()
+        _kept[make, key] = make(*key)
+    return _kept[make, key]
+
+
 def parts(text: str, size: int = PORTION) -> Iterator[str]:
-    """A text in parts of at least `size` characters, cut at spaces, which go."""
+    """A text in parts of at least `size` characters, cut at spaces beside which there is no other white space; these go."""
     start = 0
-    while 0 <= (end := text.find(" ", start + size)):
-        yield text[start:end]
-        start = end + 1
+    while cut := _CUT.search(text, start + size):
+        yield text[start : cut.start()]
+        start = cut.end()
     yield text[start:]
 
 
