@@ -7,7 +7,9 @@ The posterior of a language is the product of
 - the prior of the host: the languages that its texts alone suggest, smoothed towards those of its parent domain, and
   these towards all texts.
 The last three are grouped aggregates over all rows. Besides the languages there is `und`, text that fits no model: all
-trigrams are equally likely. The text models are fitted on about `SAMPLE` labelled rows of each language.
+trigrams are equally likely. The text models are fitted on about `SAMPLE` labelled rows of each language. A label or declared
+language counts by its first part, so `en-GB` is `en`; all that occur get a model. What is held and broadcast grows with their
+number (64 KB each), not with the rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from parcelmill.llm import bytetext
 from parcelmill.llm.scratch import stored
 
 SAMPLE = 2000  # labelled rows a language that the text model is fitted on
-LANGUAGES = 200  # the most frequent labels, if there are more
 BITS = 14
 EFFECTIVE = 30
 UNDETERMINED = "und"
@@ -58,16 +59,22 @@ class TextModel:
         smooth = counts + 0.5
         smooth = smooth / smooth.sum(axis=1, keepdims=True)
         known = np.log((1 - FOREIGN) * smooth + FOREIGN / (1 << BITS))
-        self.chances = np.vstack((known, np.full((1, 1 << BITS), -BITS * np.log(2))))
+        self.chances = np.vstack((known, np.full((1, 1 << BITS), -BITS * np.log(2)))).astype(np.float32)
+
+
+def first_part(lang: Column) -> Column:
+    """The letters with which a language tag begins, in lower case; empty if there are none."""
+    return F.regexp_extract(F.lower(F.trim(lang)), "^[a-z]+", 0)
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> TextModel:
-    """Fit the text model on about `sample` rows of each language, drawn by a hash of the key. Null labels and texts are left out."""
-    rows = labelled.select(F.col(text).alias("text"), F.lower(F.col(lang)).alias("lang"), F.col(key).alias("key")).filter("text is not null and lang <> ''")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], F.lit(sample / r["count"])).otherwise(share)
+    """Fit the text model on about `sample` rows of each language, drawn by a hash of the key.
+
+    Null texts, and labels that are null or do not begin with a letter are left out. Without any row the model has no languages.
+    """
+    rows = labelled.select(F.col(text).alias("text"), first_part(F.col(lang)).alias("lang"), F.col(key).alias("key")).filter("text is not null and lang <> ''")
+    sizes = rows.groupBy("lang").count().collect()  # a row for each language
+    share = F.try_element_at(F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], sample / r["count"])]), F.col("lang")) if sizes else F.lit(0.0)
     drawn = rows.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +136,7 @@ def identify(
     """
     names = model.languages
     none = F.lit("")
-    mark = F.regexp_extract(F.lower(F.coalesce(declared, none)), "^[a-z]+", 0) if declared is not None else none
+    mark = first_part(F.coalesce(declared, none)) if declared is not None else none
     place = F.lower(F.coalesce(host, none)) if host is not None else none
     narrow = rows.select(key.alias("key"), mark.alias("declared"), place.alias("host"), text.alias("text"))
     scored = stored(_likelihoods(narrow, model), "likelihoods")
@@ -144,8 +151,10 @@ def identify(
     )
 
     def tally(*by: str) -> DataFrame:
-        sums = _doubles([F.coalesce(F.sum(F.when(F.col("vote") == i, F.col("n"))), F.lit(0)) for i in range(size)])
-        return votes.groupBy(*by).agg(sums.alias("c"))
+        """The votes for each language."""
+        each = votes.groupBy(*by, "vote").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("vote", "n"))).alias("of"))
+        sums = F.transform(F.sequence(F.lit(0), F.lit(max(0, size - 1))), lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0)).cast("double"))
+        return each.select(*by, (sums if size else F.array().cast("array<double>")).alias("c"))
 
     def smoothed(counts: str, prior: Column) -> Column:
         total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
@@ -160,7 +169,8 @@ def identify(
     columns = _doubles([F.lit(float(x) + STRENGTH) for x in whole])
     given = lambda: F.zip_with(F.col("c"), columns, lambda c, n: (c + STRENGTH / (4 * max(1, size))) / n)
     suffixes = stored(tally("suffix").filter("suffix <> ''").select("suffix", given().alias("by_suffix")), "suffixes")
-    same = _doubles([F.when(F.col("declared") == name, F.lit(0.8 * STRENGTH)).otherwise(F.lit(0.2 * STRENGTH / max(1, size))) for name in names])
+    tags = F.array(*[F.lit(name) for name in names])
+    same = F.transform(tags, lambda name: F.when(F.col("declared") == name, F.lit(0.8 * STRENGTH)).otherwise(F.lit(0.2 * STRENGTH / max(1, size))))
     marks = tally("declared").filter("declared <> ''")
     marks = stored(marks.select("declared", F.zip_with(F.zip_with("c", same, lambda c, s: c + s), columns, lambda c, n: c / n).alias("by_mark")), "marks")
 

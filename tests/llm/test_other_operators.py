@@ -302,3 +302,30 @@ def test_reader_is_one_member_a_record_and_sees_damage():
     changed = gzip.compress(warc.record(1, "u", b"payload").replace(b"payload", b"paylord"))
     assert [i for *_, i in warc.records(io.BytesIO(changed + members[1]))] == [False, True]
     assert list(warc.records(io.BytesIO(b""))) == []
+
+
+def test_every_label_gets_a_model(spark):
+    draw = random.Random(8)
+    names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrstuvwxyz"][:500]
+    letters = {name: "".join(draw.sample("abcdefghijklmnopqrstuvwxyz", 6)) for name in names}
+
+    def text(name):
+        return " ".join("".join(draw.choice(letters[name]) for _ in range(6)) for _ in range(120))
+
+    # the rarest labels come last; half of the tags name a region
+    rows = [(i, text(name), name + ("-GB" if i % 2 else "")) for i, name in enumerate(n for k, n in enumerate(names) for _ in range(3 if k < 400 else 1))]
+    rows += [(-1, "no label", None), (-2, "a number", "12"), (-3, None, "aa"), (-4, "blank", "")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    assert model.languages == sorted(names)
+    asked = spark.createDataFrame([(i, text(name)) for i, name in enumerate(names)], "id int, text string")
+    got = {r.key: r.text_lang for r in langid.identify(asked, model, F.col("id"), F.col("text")).collect()}
+    right = sum(got[i] == name for i, name in enumerate(names))
+    assert right > 450 and sum(got[i] == names[i] for i in range(400, 500)) > 80
+
+
+def test_no_labels_and_no_rows(spark):
+    empty = spark.createDataFrame([], "doc_id int, text string, lang string")
+    model = langid.fit(empty)
+    assert model.languages == [] and langid.identify(empty, model, F.col("doc_id"), F.col("text")).count() == 0
+    rows = spark.createDataFrame([(1, "some text", None)], "doc_id int, text string, lang string")
+    assert [r.lang for r in langid.identify(rows, langid.fit(rows), F.col("doc_id"), F.col("text")).collect()] == ["und"]
