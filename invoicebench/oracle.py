@@ -236,6 +236,8 @@ ORACLE = {
     "cost_currency": f"with {_RECORDS} select invoice_id, invoice_page, page_block, currency_shipment from records",
     "cost_categories": f"select {_LINE_KEY}, {r.DESCRIPTION} as description, {_category(True)} as category from lineitem",
     "dictionary_table": f"select {_LINE_KEY}, {r.DESCRIPTION} as description, {_category(True)} as category from lineitem",
+    "dictionary_parts": f"""select {_LINE_KEY}, case when l_linenumber % 3 < 2 then cast(l_partkey as string) end as part
+        from lineitem join part on l_partkey = p_partkey""",
     "shipment_net": f"""with {_COSTS}, net as (select k, cast(sum(net) as bigint) as net_cents from rows_ group by k)
         select {_KEY}, {_IDENTIFIER} as identifier, case when extra then 0 else coalesce(net_cents, 0) end as net_cents
         from b left join net using (k)""",

@@ -190,6 +190,19 @@ def dictionary_table(spark: SparkSession, sf: str) -> DataFrame:
     return pm.dict_match(described, "description", dictionary, "partial", 70.0, "best", "category")
 
 
+PART_KEY = "concat(p_name, ' ', left(md5(cast(p_partkey as string)), 10))"
+
+
+def dictionary_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The part that a misspelt line names, by similarity to the names of all parts."""
+    parts = table(spark, sf, "part")
+    dictionary = parts.selectExpr(f"upper({PART_KEY}) as key", "cast(p_partkey as string) as value", "p_partkey as ord")
+    lines = table(spark, sf, "lineitem").join(parts.selectExpr("p_partkey as l_partkey", f"{PART_KEY} as name"), "l_partkey")
+    spelt = pick(["concat(left(name, 1), substr(name, 3))", "concat(left(name, length(name) - 4), 'Z', right(name, 3))", "concat('part ', l_suppkey)"], "(l_linenumber % 3)")
+    named = pm.dict_match(lines.selectExpr(*LINE_KEY, f"{spelt} as name"), "name", dictionary, "ratio", 85.0, "best", "part")
+    return named.select(*LINE_KEY, "part")
+
+
 def shipment_net(spark: SparkSession, sf: str) -> DataFrame:
     rows = with_cost_rows(pm.with_identifier(pm.segment(pages(spark, sf))))
     net = F.aggregate(
@@ -290,6 +303,6 @@ QUERIES = {
         dates_textual, dates_numeric, shipment_date, service_pattern, service_fuzzy, locations, weights,
         weights_keywords, weights_pair, cost_rows, cost_items, cost_currency, cost_categories, shipment_net,
         normalize_numbers, normalize_strings, normalize_countries, normalize_dates, shipments, shipments_json,
-        shipments_json_files, dictionary_table,
+        shipments_json_files, dictionary_table, dictionary_parts,
     )
 }

@@ -1,10 +1,21 @@
-"""Dictionary match by string similarity."""
+"""Dictionary match by string similarity.
+
+A dictionary that is a mapping is a few fixed entries: every text is scored where it is, without a shuffle. A dictionary that is a
+table may have any size. Its distinct keys and the distinct texts are dealt into blocks of like length; a block of texts
+meets only the blocks of keys whose lengths allow the score that is asked for. Within a pair of blocks, counts of
+common characters and of common neighbours rule out most pairs, and what is left is verified (`functions.pairs`). Each meeting
+gives its best entry for a text, an aggregate keeps the best of these, and they are joined back to the rows.
+"""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parcelmill.functions import similarity
+from parcelmill.functions import pairs, similarity
 
 
 def matched(low: Column, dictionary: dict[str, str], score: str, threshold: float, mode: str) -> Column:
@@ -17,18 +28,98 @@ def matched(low: Column, dictionary: dict[str, str], score: str, threshold: floa
     return F.coalesce(native, similarity.fuzzy_match(open_text, dictionary, score, threshold, mode))
 
 
-MAX_ENTRIES = 10_000
+BLOCK = 8192  # strings of a block, about
+BLOCK_CHARS = 1 << 20  # characters of a block, about
+_GROWTH = 1.25  # lengths of a class differ by this factor at most
+
+
+def _length_class(text: Column) -> Column:
+    return F.floor(F.log(F.char_length(text)) / math.log(_GROWTH) + 1e-9).cast("int")
+
+
+def _lengths(length_class: int) -> tuple[int, int]:
+    """Least and largest length of a class, the ends taken generously."""
+    return max(1, int(_GROWTH**length_class) - 1), int(_GROWTH ** (length_class + 1)) + 1
+
+
+def _meet(one: int, other: int, score: str, threshold: float) -> bool:
+    """Whether strings of two length classes can reach the threshold."""
+    if score == "partial":
+        return True
+    (low, high), (other_low, other_high) = _lengths(one), _lengths(other)
+    short, long = min(high, other_high), max(low, other_low)
+    return short >= long or 200.0 * short / (short + long) >= threshold - 1e-6
+
+
+class _Blocks:
+    """Blocks of distinct strings, numbered class by class."""
+
+    def __init__(self, strings: DataFrame, name: str):
+        self.name = name
+        sizes = strings.groupBy(_length_class(F.col(name)).alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length(name)).alias("chars"))
+        self.counts = {  # a row for each length class, of which a string type has 97
+            r["c"]: max(-(-r["n"] // BLOCK), -(-r["chars"] // BLOCK_CHARS)) for r in sizes.orderBy("c").collect()
+        }
+        self.first, at = {}, 0
+        for c, count in self.counts.items():
+            self.first[c], at = at, at + count
+
+    def _by_class(self, values: dict[int, int]) -> Column:
+        table = F.create_map(*[F.lit(x) for item in values.items() for x in item])
+        return F.try_element_at(table, _length_class(F.col(self.name)))
+
+    def own(self) -> Column:
+        """The block of a string."""
+        return self._by_class(self.first) + F.pmod(F.xxhash64(self.name), self._by_class(self.counts)).cast("int")
+
+    def others(self, theirs: _Blocks, score: str, threshold: float) -> Column:
+        """The blocks on the other side that a string is to meet: neighbouring classes, so one range."""
+        first, last = {}, {}
+        for c in self.counts:
+            near = [o for o in theirs.counts if _meet(c, o, score, threshold)]
+            if near:
+                first[c], last[c] = theirs.first[near[0]], theirs.first[near[-1]] + theirs.counts[near[-1]] - 1
+        if not first:
+            return F.lit(None).cast("array<int>")
+        low, high = self._by_class(first), self._by_class(last)
+        return F.when(low.isNotNull(), F.sequence(low, high))
+
+
+def _best_in_block(score: str, threshold: float, mode: str):
+    """For a block of texts and one of entries: (text, score, ord, value) of the best entry of each text that has one."""
+
+    def search(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        out: list[list] = [[], [], []]
+        if len(mine) and len(theirs):
+            order = theirs["ord"].to_numpy()
+            for text, key, value in pairs.near_pairs(mine["text"].to_pylist(), theirs["key"].to_pylist(), score, threshold):
+                fits = value >= threshold if mode == "best" else value > threshold
+                text, key, value = text[fits], key[fits], value[fits]
+                by = np.lexsort((order[key], -value, text)) if mode == "best" else np.lexsort((order[key], text))
+                first = by[np.flatnonzero(np.diff(text[by], prepend=-1))]
+                for column, values in zip(out, (text[first], value[first], key[first])):
+                    column.append(values)
+        text, value, key = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+        found = theirs.select(["ord", "value"]).take(pa.array(key, pa.int64()))
+        return pa.table([mine["text"].take(pa.array(text, pa.int64())), pa.array(value, pa.float64()), found["ord"], found["value"]], ["text", "score", "ord", "value"])
+
+    return search
 
 
-def _entries(dictionary: DataFrame) -> dict[str, str]:
-    """A dictionary table (key, value, ord) in order of `ord`; the first entry of a key counts."""
-    rows = dictionary.select("ord", "key", "value").orderBy("ord").limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"every text is scored against every key: a dictionary has at most {MAX_ENTRIES} entries")
-    found: dict[str, str] = {}
-    for row in rows:
-        found.setdefault(row["key"], row["value"])
-    return found
+def table_matches(texts: DataFrame, dictionary: DataFrame, score: str, threshold: float, mode: str) -> DataFrame:
+    """(text, value) for each distinct text (a column `text`, not null or empty) that matches an entry (key, value, ord)."""
+    low = dictionary.select(F.lower("key").alias("key"), F.struct(F.col("ord").cast("long").alias("ord"), F.col("value").cast("string").alias("value")).alias("entry"))
+    entries = low.filter("key <> '' and entry.ord is not null").groupBy("key").agg(F.min("entry").alias("entry")).select("key", "entry.*")
+    of_texts, of_keys = _Blocks(texts, "text"), _Blocks(entries, "key")
+    if not of_texts.counts or not of_keys.counts:
+        return texts.select("text", F.lit(None).cast("string").alias("value")).limit(0)
+    asked = texts.select("text", of_texts.own().alias("of_text"), F.explode(of_texts.others(of_keys, score, threshold)).alias("of_key"))
+    held = entries.select("key", "value", "ord", F.explode(of_keys.others(of_texts, score, threshold)).alias("of_text"), of_keys.own().alias("of_key"))
+    found = asked.groupBy("of_text", "of_key").cogroup(held.groupBy("of_text", "of_key")).applyInArrow(
+        _best_in_block(score, threshold, mode), "text string, score double, ord long, value string"
+    )
+    best = F.struct(-F.col("score"), "ord") if mode == "best" else F.col("ord")
+    return found.groupBy("text").agg(F.min_by("value", best).alias("value"))
 
 
 def dict_match(
@@ -42,10 +133,18 @@ def dict_match(
 ) -> DataFrame:
     """Add the dictionary value that matches a text column, compared in lower case.
 
-    The dictionary maps keys to values in order, or is a table (key, value, ord); keys are of any length.
+    The dictionary maps keys to values in order, or is a table (key, value, ord) of any size; keys are of any length. Of
+    equal keys the first entry counts; in a table, null and empty keys and null places are left out, and an empty table matches nothing.
 
     `score` is `ratio` or `partial`. `mode='best'` takes the highest score of at least the threshold
-    (the first entry on a tie), `mode='first'` the first entry with a score above the threshold.
+    (the first entry on a tie), `mode='first'` the first entry with a score above the threshold. Null and empty texts match nothing.
     """
-    dictionary = _entries(dictionary) if isinstance(dictionary, DataFrame) else dictionary
-    return df.withColumn(out, matched(F.lower(F.col(col)), dictionary, score, threshold, mode))
+    if not isinstance(dictionary, DataFrame):
+        return df.withColumn(out, matched(F.lower(F.col(col)), dictionary, score, threshold, mode))
+    if not 0 < threshold <= 100:
+        raise ValueError("a threshold is above 0 and at most 100")
+    texts = df.select(F.lower(F.col(col).cast("string")).alias("text")).filter("text <> ''").distinct()
+    found = table_matches(texts, dictionary, score, threshold, mode).select(F.col("text").alias("__text"), F.col("value").alias("__value"))
+    # Equal texts meet here only once per row, and Spark splits the rows of a hot text by itself.
+    joined = df.join(found, F.lower(df[col].cast("string")) == found["__text"], "left")
+    return joined.withColumn(out, F.col("__value")).drop("__text", "__value")

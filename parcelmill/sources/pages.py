@@ -15,12 +15,15 @@ PAGE_SCHEMA = StructType(
 
 
 def as_pages(df: DataFrame) -> DataFrame:
-    """Page table of a DataFrame: a missing text or invoice becomes empty, a missing page number 0, every line
-    break a line feed. So pages without an invoice are one invoice, and no later join loses them."""
+    """Page table of a DataFrame: a missing text or invoice becomes empty, every line break a line feed. So pages
+    without an invoice are one invoice, and no later join loses them. A page without a number is an error: a table has no
+    order to number it by, and two pages of one number would be taken for one."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    number = F.col("page_num").cast("int")
+    missing = F.raise_error(F.concat(F.lit("a page without a number, of invoice "), F.coalesce(F.col("invoice_id").cast("string"), F.lit("''")))).cast("int")
     return df.select(
         F.coalesce(F.col("invoice_id").cast("string"), F.lit("")).alias("invoice_id"),
-        F.coalesce(F.col("page_num").cast("int"), F.lit(0)).alias("page_num"),
+        F.coalesce(number, missing).alias("page_num"),
         F.regexp_replace(text, "\r\n?", "\n").alias("text"),
     )
 

@@ -103,8 +103,16 @@ def test_texts_after_a_page_without_a_start_are_not_moved(spark):
 
 
 def test_pages_without_an_invoice_are_one_invoice(spark):
-    rows = [(None, None, "1Z12345678 2024"), (None, 1, "goes on"), (None, 2, "1Z87654321")]
+    rows = [(None, 0, "1Z12345678 2024"), (None, 1, "goes on"), (None, 2, "1Z87654321")]
     pages = pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string"))
     assert sorted((r.invoice_page, r.text) for r in pm.segment(pages).collect()) == [(0, "1Z12345678 2024\ngoes on"), (2, "1Z87654321")]
     assert [tuple(r) for r in pm.invoice_year(pages).collect()] == [("", 2024)]
     assert pm.invoice_json_lines(pm.extract_shipments(pages)).count() == 2
+
+
+def test_pages_without_a_number_are_an_error(spark):
+    rows = [("I", 1, "1Z12345678"), ("I", None, "1Z87654321"), ("I", None, "1Z87654320")]
+    pages = pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string"))
+    with pytest.raises(Exception, match="a page without a number, of invoice I"):
+        pm.segment(pages).collect()
+    assert pages.select("text").count() == 3

@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 
-from parcelmill.functions import similarity
+import parcelmill as pm
+from parcelmill.functions import pairs, similarity
 from parcelmill.functions.dictionaries import COST_CATEGORIES, SERVICES
+from parcelmill.operators import matching
 from parcelmill.operators.matching import dict_match
 
 
@@ -83,3 +86,68 @@ def test_dict_match_equals_plain_loop(spark, dictionary, score, threshold, mode)
     for row in rows:
         expected = None if row.t is None else plain_match(row.t, dictionary, score, threshold, mode)
         assert row.match == expected, row.t
+
+
+# --- many pairs at once, dictionaries of any size ---
+
+
+def _words(draw, count, low, high, letters):
+    return ["".join(draw.choice(letters) for _ in range(draw.randint(low, high))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "aé日🙂x"])
+@pytest.mark.parametrize("low, high, count", [(0, 9, 14), (1, 14, 10), (63, 70, 3), (125, 131, 2)])
+def test_pairs_equal_plain_scores(letters, low, high, count):
+    draw = random.Random(low)
+    texts, keys = _words(draw, count, low, high, letters), _words(draw, count, max(1, low), high, letters)
+    keys += [t[: len(t) // 2] + "x" + t[len(t) // 2 + 1 :] for t in texts[:3]] + texts[:1]
+    keys = [key for key in keys if key]
+    sides = pairs.Strings.pair(texts, keys)
+    t, k = (x.ravel() for x in np.meshgrid(range(len(texts)), range(len(keys)), indexing="ij"))
+    plain = {"ratio": [ratio(texts[i], keys[j]) for i, j in zip(t, k)], "partial": [partial_ratio(texts[i], keys[j]) for i, j in zip(t, k)]}
+    assert np.allclose(pairs.ratios(*sides, t, k), plain["ratio"], atol=1e-9)
+    assert np.allclose(pairs.partial_ratios(*sides, t, k), plain["partial"], atol=1e-9)
+    for score, threshold in ((s, x) for s in plain for x in (35.0, 70.0, 85.0, 100.0)):
+        near = {}
+        for i, j, value in pairs.near_pairs(texts, keys, score, threshold):
+            near |= {(x, y): z for x, y, z in zip(i.tolist(), j.tolist(), value.tolist()) if z >= threshold}
+        want = {(x, y): z for x, y, z in zip(t.tolist(), k.tolist(), plain[score]) if z >= threshold - 1e-9}
+        assert near.keys() == want.keys() and all(abs(near[p] - want[p]) < 1e-9 for p in near)
+
+
+@pytest.mark.parametrize("score, threshold, mode", [("ratio", 70.0, "best"), ("ratio", 60.0, "first"), ("partial", 75.0, "best"), ("partial", 85.0, "first")])
+def test_a_table_matches_as_a_mapping_does(spark, score, threshold, mode, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK", 40)
+    draw = random.Random(6)
+    keys = list(dict.fromkeys(w for w in _words(draw, 300, 1, 24, "abcdeé ") if w))
+    places = list(range(len(keys)))
+    draw.shuffle(places)
+    entries = sorted(zip(places, keys))
+    texts = _words(draw, 250, 0, 30, "abcdeé ") + [k[:3] + "x" + k[4:] for k in keys[:120]] + ["ABC de", None, "", keys[5]] * 30
+    dictionary = {key: f"v{place}" for place, key in entries}
+    rows = spark.createDataFrame([(t, "x", "y", 1) for t in texts], "text string, value string, key string, ord int")
+    table = spark.createDataFrame(
+        [(key, f"v{place}", place) for place, key in entries] + [(entries[3][1].upper(), "late", 9999), (None, "no key", 1), ("", "empty", 2), ("abc", "no place", None)],
+        "key string, value string, ord int",
+    )
+    got = pm.dict_match(rows, "text", table, score, threshold, mode)
+    want = pm.dict_match(rows, "text", dictionary, score, threshold, mode)
+    assert got.columns == want.columns
+    rows_of = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert rows_of(got) == rows_of(want)
+    assert sum(r.match is not None for r in got.collect()) > 100
+
+
+def test_a_dictionary_of_100_000_entries(spark):
+    entries = spark.range(100_000).selectExpr("concat(left(md5(cast(id as string)), 12), ' ', id) as key", "concat('v', id) as value", "id as ord")
+    rows = spark.range(0, 100_000, 997).selectExpr("id", "concat(left(md5(cast(id as string)), 5), substr(md5(cast(id as string)), 7, 6), '  ', id) as text")
+    got = pm.dict_match(rows, "text", entries, "ratio", 85.0, "best")
+    assert all(r.match == f"v{r.id}" for r in got.collect())
+
+
+def test_empty_tables_match_nothing(spark):
+    rows, table = spark.createDataFrame([("a",), (None,)], "text string"), spark.createDataFrame([], "key string, value string, ord int")
+    assert [r.match for r in pm.dict_match(rows, "text", table).collect()] == [None, None]
+    full = spark.createDataFrame([("a", "v", 1)], "key string, value string, ord int")
+    assert pm.dict_match(rows.limit(0), "text", full).count() == 0
+    assert {r.text: r.match for r in pm.dict_match(rows, "text", full).collect()} == {"a": "v", None: None}
