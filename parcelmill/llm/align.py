@@ -20,18 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from parcelmill.functions.patterns import BLANKS
 from parcelmill.llm.scratch import new_folder, stored
-from parcelmill.llm.tokens import Words, library_tokenizer, once, portions
+from parcelmill.llm.tokens import Words, gathered, library_tokenizer, numbered, once, portions
 
 LANE = 1024  # tokens of A in a lane, about
 STEP_TOKENS = 1 << 20  # tokens of A and B that are aligned at once, about
 STEP_ROWS = 1 << 14  # documents that are aligned at once, at most
 BLOCK_TOKENS = 1 << 22  # tokens of A and B in a block, about
 PRODUCT = 1024  # a group of more links is counted by its distinct ids
-_SPACED = re.compile(r"\s \s")
+# a text with one of these is parted with care: a space beside other white space, or at an end
+_ODD = r"^ | $|  |[{0}] [{0}]".format("".join(map(re.escape, BLANKS)))
 
 
 def byte_level_pieces(path: str) -> list[bytes]:
@@ -61,8 +64,6 @@ def sentence_pieces(processor) -> list[bytes]:
 def words_of(text: str) -> list[str]:
     """The text parted at single spaces, but not at one between other white space, where tokens of A may span it."""
     words = text.split(" ")
-    if "" not in words and not _SPACED.search(text):
-        return words
     out = words[:1]
     for word in words[1:]:
         before, after = out[-1][-1:], word[:1]
@@ -74,7 +75,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """The ids of A and B of words, as they are after a space; None where either loses or changes bytes."""
+    """The ids of A and B of words, as they are after a space; none where either loses or changes bytes."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
@@ -83,24 +84,42 @@ class Encoder:
         self.a_pieces, self.b_pieces = byte_level_pieces(a_path), sentence_pieces(self.b)
         self.words = Words(self._encode)
 
-    def _encode(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def _encode(self, words: list[str]) -> list[tuple]:
         a_all = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
         out = []
         for word, a, b in zip(words, a_all, self.b.encode(words, num_threads=1)):
             raw = b" " + word.encode()
             same = b"".join([self.a_pieces[i] for i in a]) == raw == b"".join([self.b_pieces[i] for i in b])
-            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else None)
+            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if same else ())
         return out
 
+    def _ids(self, pieces: list[str]) -> list[tuple[bytes, bytes] | tuple]:
+        """The ids of A and B of each piece, or nothing."""
+        column = pa.array(pieces, pa.string())
+        odd = pc.match_substring_regex(column, _ODD).to_pylist()
+        if any(odd):
+            words = [words_of(piece) if strange else piece.split(" ") for piece, strange in zip(pieces, odd)]
+            lists = pa.array(words, pa.list_(pa.string()))
+        else:
+            lists = pc.split_pattern(column, " ")
+        words, index, first = numbered(lists)
+        values = self.words(words)
+        lost = np.append(0, np.cumsum(np.array([not v for v in values], bool)[index]))
+        values = [v or (b"", b"") for v in values]
+        (a, ends_a), (b, ends_b) = (gathered([v[i] for v in values], index) for i in (0, 1))
+        return [
+            () if lost[e] > lost[s] else (a[ends_a[s] : ends_a[e]].tobytes(), b[ends_b[s] : ends_b[e]].tobytes())
+            for s, e in zip(first[:-1].tolist(), first[1:].tolist())
+        ]
+
     def __call__(self, texts: pa.Array) -> Iterator[tuple[int, bytes, bytes]]:
         """(row, ids of A, ids of B) of each text; none where the joined bytes are not those of a space and the text."""
         held: list = []
         for portion in portions(texts):
-            found = self.words([words_of(piece) if piece else [] for _, piece, _ in portion])
-            for (row, _, ends), values in zip(portion, found):
-                held += values
+            for (row, piece, ends), ids in zip(portion, self._ids([piece for _, piece, _ in portion])):
+                held.append(ids if piece else ())
                 if ends:
-                    a, b = zip(*held) if held and None not in held else ((), ())
+                    a, b = zip(*held) if () not in held else ((), ())
                     yield row, b"".join(a), b"".join(b)
                     held = []
 

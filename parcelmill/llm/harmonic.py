@@ -18,16 +18,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from parcelmill.llm.tokens import Words, library_tokenizer, portions
+from parcelmill.llm.tokens import KNOWN, Words, gathered, library_tokenizer, numbered, once, portions
 
 CAPACITY = 4096  # tokens
 END = 2  # the id after each document
 LEAST = 64  # a rest is not cut into pieces shorter than this
 CUT = 2.0  # tokens of padding that one cut less is worth
 _FLUSH = 1 << 20  # tokens in a batch of results
+_PORTION = 1 << 22  # characters that are encoded at once
 
 
 def waste(n: np.ndarray, capacity: int) -> np.ndarray:
@@ -104,6 +106,56 @@ class Sequences:
             self._close(held)
 
 
+class Encoder:
+    """The ids of texts by a tokenizer that drops white space and ends each run of letters or signs with a token of its own kind.
+
+    Words that are new are parted before signs that follow an ASCII letter, as the tokenizer does, and ASCII letters become small ones, as there; runs of letters are encoded
+    many at once, in one text.
+    """
+
+    _SIGNS = ".,;:!?%#"
+
+    def __init__(self, path: str):
+        self.library = library_tokenizer(path, special=True)
+        ids = self.library.get_vocab()
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        self.ends[[i for piece, i in ids.items() if piece.endswith("</w>")]] = True
+        self.runs, self.words = Words(self._runs, 2 * KNOWN), Words(self._words, 2 * KNOWN)
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        known = {}
+        letters = [run for run in runs if run.isalpha()]
+        if letters:
+            ids = np.array(self.library.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(letters):  # else a letter becomes a letter and a sign in lower case
+                known = {run: ids[s:e].tobytes() for run, s, e in zip(letters, [0, *ends.tolist()], ends.tolist())}
+        rest = [run for run in runs if run not in known]
+        found = self.library.encode_batch_fast(rest, add_special_tokens=False)
+        known |= {run: array("I", e.ids).tobytes() for run, e in zip(rest, found)}
+        return [known[run] for run in runs]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        parted = []
+        for word in words:
+            stem = word.rstrip(self._SIGNS)
+            if stem.isascii() and stem.isalpha():
+                parted.append([stem.lower(), word[len(stem) :]] if len(stem) < len(word) else [stem.lower()])
+            elif len(stem) < len(word) and stem[-1:].isascii() and stem[-1:].isalpha():
+                parted.append([stem, word[len(stem) :]])
+            else:
+                parted.append([word])
+        different = list({part for each in parted for part in each})
+        known = dict(zip(different, self.runs(different)))
+        return [b"".join([known[part] for part in each]) for each in parted]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Four bytes an id, little-endian."""
+        words, index, first = numbered(pc.split_pattern(pa.array([text.replace("\n", " ") for text in texts], pa.string()), " "))
+        ids, ends = gathered(self.words(words), index)
+        return [ids[s:e].tobytes() for s, e in zip(ends[first[:-1]].tolist(), ends[first[1:]].tolist())]
+
+
 def pack_tokens(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END,
     numbers: int = 1 << 40,
@@ -122,9 +174,7 @@ def pack_tokens(
     ])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = library_tokenizer(tokenizer, special=True)
-        words = Words(lambda new: [array("I", e.ids).tobytes() for e in library.encode_batch_fast(new, add_special_tokens=False)])
-        first = split_table(capacity)
+        encode, first = once(Encoder, tokenizer), split_table(capacity)
         sequences, tail = Sequences(capacity), array("I", [end]).tobytes()
         base = TaskContext.get().partitionId() * numbers
         names = None
@@ -141,10 +191,9 @@ def pack_tokens(
         for batch in batches:
             documents, texts = batch.columns
             names, documents, held, n = documents.type, documents.to_pylist(), [], 0
-            for portion in portions(texts):
-                found = words([piece.replace("\n", " ").split(" ") for _, piece, _ in portion])
-                for (row, _, ends), ids in zip(portion, found):
-                    held += ids
+            for portion in portions(texts, _PORTION):
+                for (row, _, ends), ids in zip(portion, encode([piece for _, piece, _ in portion])):
+                    held.append(ids)
                     if not ends:
                         continue
                     all_ids = b"".join(held) + tail

@@ -11,39 +11,60 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 
-PORTION = 1 << 18  # characters
+PORTION = 1 << 20  # characters
 KNOWN = 300_000  # words
 _LONG = 64  # longer words are not kept
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Words:
-    """What `encode` makes of words; it gets a list of words and returns a list of values."""
+    """What `encode` makes of words; it gets a list of words and returns a list of values, none of them None.
+
+    The values of words met lately are held in two dictionaries: once the one in use is full, it becomes the old one, of which
+    a word is taken over when it is met again.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list], known: int = KNOWN):
-        self.encode, self.most, self.known, self.again = encode, known, {}, set()
-
-    def __call__(self, texts: list[list[str]]) -> list[list]:
-        """The values of the words of each text."""
-        met = set(chain.from_iterable(texts))
-        old = met & self.known.keys()
-        new = list(met - old)
-        self.again |= old
-        if len(self.known) + len(new) > self.most:  # keep what was met again since the last time, if that is little enough
-            kept = self.again if len(self.again) < self.most // 2 else old
-            self.known, self.again = {word: self.known[word] for word in kept}, set()
-        self.known.update(zip(new, self.encode(new)))
-        out = [list(map(self.known.__getitem__, words)) for words in texts]
-        for word in new:
-            if len(word) > _LONG:
-                del self.known[word]
+        self.encode, self.most, self.known, self.old = encode, known // 2, {}, {}
+
+    def __call__(self, words: list[str]) -> list:
+        """The values of some different words."""
+        out = list(map(self.known.get, words))
+        gaps = [i for i, value in enumerate(out) if value is None]
+        new = []
+        for i in gaps:
+            out[i] = self.old.get(words[i])
+            if out[i] is None:
+                new.append(i)
+        for i, value in zip(new, self.encode([words[i] for i in new])):
+            out[i] = value
+        for i in gaps:
+            if len(words[i]) <= _LONG:
+                self.known[words[i]] = out[i]
+        if len(self.known) > self.most:
+            self.known, self.old = {}, self.known
         return out
 
 
+def numbered(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different words, place of each word among them, first word of each list and at last their number)."""
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+def gathered(values: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of values[i] for each i, one after another; where each begins, and at last their number). Four bytes an id."""
+    lengths = np.array([len(v) for v in values], np.int64) >> 2
+    starts, n = np.cumsum(lengths) - lengths, lengths[index]
+    ends = np.cumsum(n)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[index] - (ends - n), n)
+    return np.frombuffer(b"".join(values), np.uint32)[at], np.append(0, ends)
+
+
 _kept: dict = {}
 
 
