@@ -6,9 +6,12 @@ the rendered text; the document queries read `documents` with patterns of their
 
 from __future__ import annotations
 
+import os
+
 from invoicebench import rendering as r
 from invoicebench.queries import COUNTRY_SPELLINGS, MISSPELT_SERVICES
 from invoicebench.rendering import decimal, pick, texts
+from parcelmill.functions.registry import ISO_CODES, read_registry
 
 _ORDERS = r.ORDERS.format(orders="orders")
 _LINEITEMS = r.LINEITEMS.format(lineitem="lineitem")
@@ -255,6 +258,7 @@ ORACLE = {
     ),
     "normalize_dates": """select o_orderkey, case when o_orderkey % 8 < 6 then cast(cast(o_orderdate as date) as string) end
         as shipment_date from orders""",
+    "normalize_spelt_dates": "select o_orderkey, cast(cast(o_orderdate as date) as string) as shipment_date from orders",
     "shipments": f"with {_RECORDS} select * exclude (cost_items) from records",
     "shipments_json_files": f"""with {_RECORDS} select replace(invoice_id, '.pdf', '') || '_extracted.json' as document, identifier, invoice_page,
         shipment_date, origin_country, pallet_amount, mentions from records""",
@@ -265,3 +269,9 @@ ORACLE = {
             cast(to_json(struct_pack({', '.join(f'{name} := {name}' for name in _JSON_FIELDS)})) as string),
             case when nth = n then ']' else '' end) as line from ranked""",
 }
+
+if os.path.exists(ISO_CODES):
+    _known = ", ".join(f"({i}, {j}, '{c.alpha_2}')" for i, c in enumerate(read_registry(ISO_CODES)) for j, value in enumerate(c) if value)
+    ORACLE["normalize_registry"] = f"""with known as (select * from (values {_known}) as v(i, field, code))
+        select o_orderkey, code as origin_country
+        from orders left join known on o_orderkey % {len(read_registry(ISO_CODES))} = i and o_custkey % 6 = field"""

@@ -10,6 +10,7 @@ import parcelmill as pm
 from invoicebench.rendering import DESCRIPTION, decimal, pages, pick, render, shared_folder, table, texts
 from parcelmill.functions.dictionaries import COST_CATEGORIES
 from parcelmill.functions.patterns import rows_of
+from parcelmill.functions.registry import iso_countries
 from parcelmill.operators.costs import shipment_currency, with_cost_items, with_cost_rows
 from parcelmill.operators.pages import chunk_year, page_tracking
 from parcelmill.operators.segmentation import BLOCK_KEY, continuation_pages
@@ -263,6 +264,34 @@ def normalize_dates(spark: SparkSession, sf: str) -> DataFrame:
     return pm.normalize(raw).withColumn("shipment_date", F.col("shipment_date").cast("string"))
 
 
+DATE_SPELLINGS = [
+    "yyyy-MM-dd", "d.M.yyyy", "dd.MM.yyyy", "d/M/yyyy", "dd-MM-yyyy", "d. MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d yyyy", "yyyyMMdd",
+    "yyyy/MM/dd", "yyyy.M.d", "EEE d MMM yyyy", "EEEE, MMMM d, yyyy", "d-MMM-yyyy", "d 'of' MMMM yyyy", "yyyy MMM d", "dd/MMM/yyyy", "EEE, d MMM. yyyy",
+]
+TIME_SPELLINGS = [
+    "", "T10:00:00Z", "T10:00:00+01:00", "T23:59:59.123456Z", "T0930", " 10:15", " 10:15:30", " 10:15 AM", " 10:15 PM", " at 10:15", ", 7:05 pm",
+    " 10:00:00 UTC", " 10:00 +0200", "T10:00-05",
+]
+
+
+def normalize_spelt_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every spelling of a date with every spelling of a time."""
+    spelt = F.coalesce(*[F.when(F.col("o_orderkey") % len(DATE_SPELLINGS) == n, F.date_format("o_orderdate", form)) for n, form in enumerate(DATE_SPELLINGS)])
+    time = F.get(F.array(*[F.lit(t) for t in TIME_SPELLINGS]), (F.col("o_custkey") % len(TIME_SPELLINGS)).cast("int"))
+    raw = table(spark, sf, "orders").select("o_orderkey", F.concat(spelt, time).alias("shipment_date"))
+    return pm.normalize(raw).withColumn("shipment_date", F.col("shipment_date").cast("string"))
+
+
+def normalize_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field of every country, in changing case."""
+    countries = iso_countries(spark)
+    spellings = [(i, field, value) for i, country in enumerate(countries) for field, value in enumerate(country)]
+    fields = spark.createDataFrame(spellings, "i int, field int, spelt string")
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey", f"cast(o_orderkey % {len(countries)} as int) as i", "cast(o_custkey % 6 as int) as field")
+    case = F.when(F.col("o_orderkey") % 2 == 0, F.lower("spelt")).otherwise(F.concat(F.lit(" "), F.upper("spelt")))
+    return pm.normalize(orders.join(fields, ["i", "field"], "left").select("o_orderkey", case.alias("origin_country")))
+
+
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     records = pm.extract_shipments(pages(spark, sf))
     total = F.aggregate(
@@ -302,7 +331,7 @@ QUERIES = {
         identifiers_distorted, identifiers_generic, document_lines, document_years, invoice_year, invoice_chunk_year,
         dates_textual, dates_numeric, shipment_date, service_pattern, service_fuzzy, locations, weights,
         weights_keywords, weights_pair, cost_rows, cost_items, cost_currency, cost_categories, shipment_net,
-        normalize_numbers, normalize_strings, normalize_countries, normalize_dates, shipments, shipments_json,
+        normalize_numbers, normalize_strings, normalize_countries, normalize_dates, normalize_spelt_dates, normalize_registry, shipments, shipments_json,
         shipments_json_files, dictionary_table, dictionary_parts,
     )
 }

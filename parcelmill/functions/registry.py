@@ -1,13 +1,15 @@
-"""The ISO 3166 country registry.
+"""The ISO 3166 country registry: a table of six fields for each country.
 
-The default registry is derived from the Java runtime of the Spark driver (codes and English names)
-with the ISO short names where they differ. A fuller one (numeric codes, official and common names)
-can be passed wherever a registry is taken, as a list or read from a CSV file by `read_registry`.
+The default registry is the file of the iso-codes package (Debian and others), where the driver has it; else codes and English names
+of the driver's Java runtime, with the ISO short names where they differ. Another one can be passed wherever a registry is
+taken, as a list or read from a JSON or CSV file by `read_registry`.
 """
 
 from __future__ import annotations
 
 import csv
+import json
+import os
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,16 @@ class Country(NamedTuple):
     official_name: str | None = None
 
 
-def iso_countries(spark: SparkSession) -> list[Country]:
+#: Where the iso-codes package puts its table.
+ISO_CODES = "/usr/share/iso-codes/json/iso_3166-1.json"
+
+
+def iso_countries(spark: SparkSession, path: str = ISO_CODES) -> list[Country]:
+    """All countries of the iso-codes file; without one, those of the Java runtime, which lacks most numeric codes and official names."""
+    return read_registry(path) if os.path.exists(path) else runtime_countries(spark)
+
+
+def runtime_countries(spark: SparkSession) -> list[Country]:
     locale = spark._jvm.java.util.Locale
     countries = []
     for code in locale.getISOCountries():
@@ -37,9 +48,10 @@ def iso_countries(spark: SparkSession) -> list[Country]:
 
 
 def read_registry(path: str) -> list[Country]:
-    """A registry from a CSV file with a header of the six field names; empty fields are unknown."""
+    """A registry from a file: a CSV with a header of the six field names, or the JSON of the iso-codes package. Empty fields are unknown."""
     with open(path, encoding="utf-8", newline="") as file:
-        return [Country(*(row.get(field) or None for field in Country._fields)) for row in csv.DictReader(file)]
+        rows = json.load(file)["3166-1"] if path.endswith(".json") else list(csv.DictReader(file))
+    return [Country(*(row.get(field) or None for field in Country._fields)) for row in rows]
 
 
 def country_keys(spark: SparkSession, countries: list[Country]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType, NumericType, StringType
 
 from parcelmill.functions import patterns as p
 from parcelmill.functions.registry import Country, country_keys, iso_countries
+from parcelmill.functions.spelt_dates import spelt_date
 
 STRINGS = [
     "origin_city", "destination_city", "shipment_type", "currency_shipment", "origin_zipcode", "destination_zipcode",
@@ -14,17 +15,6 @@ STRINGS = [
 NUMBERS = ["gross_weight", "chargeable_weight", "loading_meter", "cubic_meter"]
 COUNTRIES = ["origin_country", "destination_country"]
 
-# Accepted spellings of a date besides the ISO form, day first.
-DATE_FORMATS = [
-    "d.M.yyyy", "d/M/yyyy", "d-M-yyyy", "yyyy/M/d", "yyyy.M.d", "yyyyMMdd",
-    "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy", "d-MMM-yyyy",
-]
-_MONTH_FIRST = ["M.d.yyyy", "M/d/yyyy", "M-d-yyyy"]
-
-# With two digits a year lies less than 50 years from now, as far as it goes.
-_SHORT_YEARS = ["d.M.yy", "d/M/yy", "d-M-yy", "d MMM yy", "d MMMM yy", "d-MMM-yy", "M.d.yy", "M/d/yy", "M-d-yy"]
-_TIME = r"[ T](?:[01]?[0-9]|2[0-3]):[0-5][0-9](?::[0-5][0-9](?:[.,][0-9]+)?)?$"
-
 _FLOAT = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)$"
 _INT = "^[+-]?[0-9]+$"
 _LOOSE_UNDERSCORE = "(?<![0-9])_|_(?![0-9])"
@@ -56,15 +46,8 @@ def clean_int(value: Column, data_type=StringType()) -> Column:
 
 
 def clean_date(value: Column, data_type=StringType()) -> Column:
-    """A date from the ISO form or one of the listed spellings, day first unless only month first fits; a time is cut off."""
-    if not isinstance(data_type, StringType):
-        return value.cast("date")
-    text = F.regexp_replace(F.regexp_replace(p.strip(value), _TIME, ""), r"(?<=[A-Za-z0-9])[.,] ", " ")
-    formats = ["yyyy-M-d", *DATE_FORMATS, *_MONTH_FIRST]
-    short = F.coalesce(*[F.try_to_date(text, spelling) for spelling in _SHORT_YEARS])  # taken as 20yy
-    late = F.year(short) >= F.year(F.current_date()) + 50
-    century = p.bind(short, lambda date: F.when(late, F.add_months(date, F.lit(-1200))).otherwise(date))
-    return F.coalesce(*[F.try_to_date(text, spelling) for spelling in formats], century)
+    """A date from the ISO form or another spelling, day first unless only month first fits; a time is cut off."""
+    return spelt_date(value) if isinstance(data_type, StringType) else value.cast("date")
 
 
 def clean_cost_item(item: Column, cost_type=DoubleType()) -> Column:

@@ -1,12 +1,14 @@
 import datetime
 import json
+import os
 import random
 
 import pytest
+from dateutil import parser
 from pyspark.sql import Row
 
 import parcelmill as pm
-from parcelmill.functions.registry import Country, iso_countries, read_registry
+from parcelmill.functions.registry import ISO_CODES, Country, iso_countries, read_registry, runtime_countries
 from parcelmill.plans.shipments import RECORD
 from test_similarity import partial_ratio, ratio
 
@@ -165,3 +167,49 @@ def test_dict_match_takes_keys_of_any_length_and_tables(spark):
             want[i] = next(v for s, v in scored if s == best) if best >= 70 else None
         for dictionary in ({key: "long", "none": "short"}, table):
             assert {r.i: r.match for r in pm.dict_match(frame, "t", dictionary, score, 70.0).collect()} == want
+
+
+SPELT = {
+    "2025-11-27T10:00:00Z": "2025-11-27", "2025-11-27T10:00:00+01:00": "2025-11-27", "Thu 27 Nov 2025": "2025-11-27", "27th November 2025": "2025-11-27",
+    "20251127T1000": "2025-11-27", "27.11.2025 10:15 AM": "2025-11-27", "10:15 AM 27.11.2025": "2025-11-27", "2025-05-04T10:00": "2025-05-04",
+    "20251127100000": "2025-11-27", "2025-13-05": "2025-05-13", "99/11/27": "1999-11-27", "27 Nov '25": "2025-11-27", "Sept 5 2025": "2025-09-05",
+    "2025-11-27T10:00:00 x y": None, "27 Nov": None, "Nov 2025": None, "2025": None, "32.1.2025": None, "13/13/2025": None, "27112025": None,
+    "1.2.3.2025": None, "Smarch 5 2025": None, "27.11.2025 25:00": None, "1" * 100: None, "Nov Nov 2025": None, "": None, " ": None, None: None,
+}
+
+
+def test_dates_as_they_are_spelt(spark):
+    rows = spark.createDataFrame([(s, s) for s in SPELT], "raw string, shipment_date string")
+    assert {r.raw: r.shipment_date and str(r.shipment_date) for r in pm.normalize(rows).collect()} == SPELT
+
+
+def test_spelt_dates_equal_a_free_parser(spark):
+    draw = random.Random(12)
+    days = ["%-d.%-m.%Y", "%d/%m/%Y", "%d-%m-%Y", "%d.%m.%y", "%-d %b %Y", "%-d. %B %Y", "%b %-d, %Y", "%B %-d %Y", "%a %-d %b %Y", "%A, %B %-d, %Y", "%d-%b-%y", "%Y %b %d", "%d %m %Y"]
+    year_first = ["%Y-%m-%d", "%Y/%m/%d", "%Y%m%d", "%Y.%m.%d"]
+    times = ["", " %H:%M", " %H:%M:%S", " %I:%M %p", " at %I:%M%p", " %H:%M UTC", " %H:%M:%S+02:00", ", %H:%M"]
+    zoned = ["T%H:%M:%SZ", "T%H:%M", "T%H:%M:%S.%f+01:00", "T%H%M"]
+    rows = {}
+    for _ in range(1500):
+        when = datetime.datetime(draw.randint(1980, 2069), draw.randint(1, 12), draw.randint(1, 28), draw.randint(0, 23), draw.randint(0, 59), draw.randint(0, 59))
+        first = draw.random() < 0.3
+        text = when.strftime(draw.choice(year_first if first else days) + draw.choice(times + zoned if first else times))
+        if text[:1].isdigit() and text[1:4] == "th ":
+            continue
+        rows[text] = str(parser.parse(text, dayfirst=not first).date())
+    table = spark.createDataFrame([(s, s) for s in rows], "raw string, shipment_date string")
+    got = {r.raw: r.shipment_date and str(r.shipment_date) for r in pm.normalize(table).collect()}
+    assert {s: (got[s], d) for s, d in rows.items() if got[s] != d} == {}
+
+
+def test_every_field_of_the_registry_resolves(spark):
+    if not os.path.exists(ISO_CODES):
+        pytest.skip("the iso-codes package is not installed")
+    countries = read_registry(ISO_CODES)
+    rows = [(value.lower(), c.alpha_2) for c in countries for value in c if value]
+    found = pm.normalize(spark.createDataFrame([(s, s, c) for s, c in rows], "raw string, origin_country string, code string")).collect()
+    assert len(countries) == 249 and [r.raw for r in found if r.origin_country != r.code] == []
+    spelt = ["008", "404", "Republic of Kenya", "türkiye"]
+    found = pm.normalize(spark.createDataFrame([(s, s) for s in spelt], "raw string, origin_country string")).collect()
+    assert {r.raw: r.origin_country for r in found} == dict(zip(spelt, ["AL", "KE", "KE", "TR"]))
+    assert len(runtime_countries(spark)) > 240
