@@ -262,6 +262,13 @@ ORACLE = {
     "shipments": f"with {_RECORDS} select * exclude (cost_items) from records",
     "shipments_json_files": f"""with {_RECORDS} select replace(invoice_id, '.pdf', '') || '_extracted.json' as document, identifier, invoice_page,
         shipment_date, origin_country, pallet_amount, mentions from records""",
+    "normalize_rejects": """with lost as (
+            select o_orderkey, 'gross_weight' as field, null as item, case o_orderkey % 5 when 0 then concat(o_custkey, ' kg') when 3 then '1.2.3' end as value from orders
+            union all select o_orderkey, 'pallet_amount', null, case when o_orderkey % 3 = 0 then concat(o_custkey, '.5') end from orders
+            union all select o_orderkey, 'shipment_date', null, case o_orderkey % 4 when 0 then concat('31.02.', 2000 + o_custkey % 20) when 1 then 'soon' end from orders
+            union all select o_orderkey, 'origin_country', null, case when o_orderkey % 2 <> 0 then concat('Land ', o_custkey) end from orders
+            union all select o_orderkey, 'total_cost_in_shipment_currency', 2, case when o_orderkey % 7 = 0 then concat(o_custkey, ' EUR') end from orders)
+        select o_orderkey, field, cast(item as int) as item, value from lost where value is not null""",
     "shipments_json": f"""with {_RECORDS},
         ranked as (select *, row_number() over (partition by invoice_id order by invoice_page, page_block) as nth,
             count(*) over (partition by invoice_id) as n from records)
@@ -275,3 +282,5 @@ if os.path.exists(ISO_CODES):
     ORACLE["normalize_registry"] = f"""with known as (select * from (values {_known}) as v(i, field, code))
         select o_orderkey, code as origin_country
         from orders left join known on o_orderkey % {len(read_registry(ISO_CODES))} = i and o_custkey % 6 = field"""
+
+ORACLE["shipments_json_packed"] = ORACLE["shipments_json_files"]

@@ -12,6 +12,7 @@ from parcelmill.functions.dictionaries import COST_CATEGORIES
 from parcelmill.functions.patterns import rows_of
 from parcelmill.functions.registry import iso_countries
 from parcelmill.operators.costs import shipment_currency, with_cost_items, with_cost_rows
+from parcelmill.operators.normalize import rejected_values
 from parcelmill.operators.pages import chunk_year, page_tracking
 from parcelmill.operators.segmentation import BLOCK_KEY, continuation_pages
 
@@ -324,6 +325,30 @@ def shipments_json_files(spark: SparkSession, sf: str) -> DataFrame:
                        F.array_join("r.cost_items.mention", "|").alias("mentions"))
 
 
+def shipments_json_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The records of the JSON documents as they are read back from the packed table."""
+    folder = f"{shared_folder(spark)}/json-{uuid.uuid4().hex}"
+    pm.pack_invoice_json(pm.extract_shipments(pages(spark, sf)), f"{folder}/packed", f"{folder}/records")
+    record = "array<struct<identifier string, invoice_page int, shipment_date string, origin_country string, pallet_amount long, cost_items array<struct<mention string>>>>"
+    read = pm.read_invoice_json(spark, f"{folder}/packed").select("document", F.inline(F.from_json("json", record)))
+    return read.withColumn("mentions", F.array_join("cost_items.mention", "|")).drop("cost_items")
+
+
+def normalize_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The values of malformed records that stay raw or become null."""
+    raw = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        "case o_orderkey % 5 when 0 then concat(o_custkey, ' kg') when 1 then '' when 2 then '1,5' when 3 then '1.2.3' end as gross_weight",
+        "case when o_orderkey % 3 = 0 then concat(o_custkey, '.5') else cast(o_custkey as string) end as pallet_amount",
+        "case o_orderkey % 4 when 0 then concat('31.02.', 2000 + o_custkey % 20) when 1 then 'soon' when 2 then '2025-11-27' end as shipment_date",
+        "case when o_orderkey % 2 = 0 then 'DE' else concat('Land ', o_custkey) end as origin_country",
+        """array(named_struct('extracted_category', 'a', 'total_cost_in_shipment_currency', cast(o_totalprice as string), 'currency', '', 'mention', ''),
+            named_struct('extracted_category', 'b', 'total_cost_in_shipment_currency', if(o_orderkey % 7 = 0, concat(o_custkey, ' EUR'), null),
+                'currency', '', 'mention', '')) as cost_items""",
+    )
+    return rejected_values(raw, ["o_orderkey"])
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -332,6 +357,6 @@ QUERIES = {
         dates_textual, dates_numeric, shipment_date, service_pattern, service_fuzzy, locations, weights,
         weights_keywords, weights_pair, cost_rows, cost_items, cost_currency, cost_categories, shipment_net,
         normalize_numbers, normalize_strings, normalize_countries, normalize_dates, normalize_spelt_dates, normalize_registry, shipments, shipments_json,
-        shipments_json_files, dictionary_table, dictionary_parts,
+        shipments_json_files, dictionary_table, dictionary_parts, shipments_json_packed, normalize_rejects,
     )
 }

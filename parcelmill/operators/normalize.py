@@ -90,3 +90,40 @@ def normalize(shipments: DataFrame, registry: list[Country] | None = None) -> Da
         for name in countries:
             df = _with_country(df, name, keys)
     return df.select(columns)
+
+
+def rejected_values(shipments: DataFrame, keys: list[str], registry: list[Country] | None = None) -> DataFrame:
+    """(keys ..., field, item, value): what `normalize` could not read, a row for each value.
+
+    A record never fails as a whole: a date or number that cannot be read becomes null there, a country that is not in the
+    registry stays raw, and here they are listed as they came, costs with their place among the cost items. Blank values are no values.
+    """
+    types = {field.name: field.dataType for field in shipments.schema}
+    none = F.lit(None).cast("int")
+
+    def lost(name: str, raw: Column, clean: Column, item: Column = none) -> Column:
+        text = raw.cast("string")
+        return F.when((p.strip(text) != "") & clean.isNull(), F.struct(F.lit(name).alias("field"), item.alias("item"), text.alias("value")))
+
+    found = [lost(name, F.col(name), clean_float(F.col(name), types[name])) for name in NUMBERS if name in types]
+    if "pallet_amount" in types:
+        found.append(lost("pallet_amount", F.col("pallet_amount"), clean_int(F.col("pallet_amount"), types["pallet_amount"])))
+    if "shipment_date" in types:
+        found.append(lost("shipment_date", F.col("shipment_date"), clean_date(F.col("shipment_date"), types["shipment_date"])))
+    df = shipments
+    countries = [name for name in COUNTRIES if name in types]
+    if countries:
+        known = iso_countries(df.sparkSession) if registry is None else registry
+        lookup = country_keys(df.sparkSession, known)
+        for name in countries:
+            found_key = lookup.select(F.col("key").alias(f"__{name}"))
+            df = df.join(found_key, F.lower(p.strip(F.col(name))) == F.col(f"__{name}"), "left")
+            found.append(lost(name, F.col(name), F.col(f"__{name}")))
+    every = F.array(*found) if found else F.array().cast("array<struct<field:string,item:int,value:string>>")
+    if "cost_items" in types:
+        cost = "total_cost_in_shipment_currency"
+        kind = types["cost_items"].elementType[cost].dataType
+        costs = F.transform("cost_items", lambda one, nth: lost(cost, one[cost], clean_float(one[cost], kind), nth + 1))
+        every = F.concat(every, F.coalesce(costs, F.array().cast("array<struct<field:string,item:int,value:string>>")))
+    rows = df.select(*keys, F.posexplode_outer(F.filter(every, lambda one: one.isNotNull())).alias("pos", "__lost"))
+    return p.rows_of(rows).select(*keys, "__lost.field", "__lost.item", "__lost.value")

@@ -50,7 +50,8 @@ def page_lines(pages: DataFrame) -> DataFrame:
 def has_start(text: Column) -> Column:
     """Whether a block starts in a text: a tracking number on a line that is no noise."""
     marked = F.filter(F.split(text, "\n"), lambda line: F.contains(line, F.lit("1Z")))
-    return F.exists(marked, lambda line: has_tracking(line) & ~is_noise(p.fold_case(line)))
+    # A text without a number is not split.
+    return F.contains(text, F.lit("1Z")) & F.exists(marked, lambda line: has_tracking(line) & ~is_noise(p.fold_case(line)))
 
 
 def page_tracking(pages: DataFrame) -> DataFrame:

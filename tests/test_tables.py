@@ -3,6 +3,7 @@ import json
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from dateutil import parser
 from pyspark.sql import Row
@@ -10,6 +11,7 @@ from pyspark.sql import Row
 import parcelmill as pm
 from parcelmill.functions.registry import ISO_CODES, Country, iso_countries, read_registry, runtime_countries
 from parcelmill.plans.shipments import RECORD
+from parcelmill.sources import invoice_json
 from test_similarity import partial_ratio, ratio
 
 PAGES = [
@@ -213,3 +215,40 @@ def test_every_field_of_the_registry_resolves(spark):
     found = pm.normalize(spark.createDataFrame([(s, s) for s in spelt], "raw string, origin_country string")).collect()
     assert {r.raw: r.origin_country for r in found} == dict(zip(spelt, ["AL", "KE", "KE", "TR"]))
     assert len(runtime_countries(spark)) > 240
+
+
+def test_packed_json_holds_the_arrays_of_the_files(spark, tmp_path, monkeypatch):
+    rows = [("long", page, f"1Z{page:010}\nTransport 1,00 2,00\n" * 3) for page in range(1, 60)]
+    rows += [(f"small {i}.pdf", 1, f"1Z000000{i:04}") for i in range(200)]
+    pages = pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string"))
+    records = pm.extract_shipments(pages)
+    pm.pack_invoice_json(records, str(tmp_path / "packed"), str(tmp_path / "records"))
+    assert len(list((tmp_path / "packed").glob("*.parquet"))) < 20
+    got = {r.document: json.loads(r.json) for r in pm.read_invoice_json(spark, str(tmp_path / "packed")).collect()}
+    assert len(got) == 201 and [r["invoice_page"] for r in got["long_extracted.json"]] == sorted([*range(1, 60)] * 3)
+    assert [r["identifier"] for r in got["small 7_extracted.json"]] == ["1Z0000000007"]
+    one = pm.read_invoice_json(spark, str(tmp_path / "packed"), ["small 8_extracted.json", "none"])
+    assert [json.loads(r.json)[0]["identifier"] for r in one.collect()] == ["1Z0000000008"]
+    pm.pack_invoice_json(records.limit(0), str(tmp_path / "empty"))
+    assert pm.read_invoice_json(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_a_long_document_is_packed_in_rows_that_concatenate(monkeypatch):
+    monkeypatch.setattr(invoice_json, "SEGMENT_CHARS", 30)
+    lines = [("a", "a", 1, i, ("[" if i == 1 else ",") + str(i) * 5 + ("]" if i == 20 else "")) for i in range(1, 21)] + [("b", "b", 1, 1, "[1]")]
+    batches = [pa.RecordBatch.from_pylist([dict(zip("vwxyz", row)) for row in lines[i : i + 4]]) for i in range(0, len(lines), 4)]
+    rows = [row for batch in invoice_json._segments(batches) for row in batch.to_pylist()]
+    assert len([r for r in rows if r["document"] == "a"]) > 3 and all(len(r["json"]) < 50 for r in rows)
+    assert "\n".join(r["json"] for r in rows[:-1]) == "\n".join(row[4] for row in lines[:-1]) and rows[-1]["json"] == "[1]"
+    assert [r["page_block"] for r in rows[:-1]] == sorted(r["page_block"] for r in rows[:-1])
+
+
+def test_rejected_values_are_listed_and_records_stay(spark):
+    item = "struct<extracted_category string, total_cost_in_shipment_currency string, currency string, mention string>"
+    rows = [(1, "x kg", "3.7", "soon", "Atlantis", [("a", "1,5", "", ""), ("b", "-", "", "")]), (2, " ", None, "2025-11-27", "de", None), (3, "1,5", "4", "27 Nov 2025", None, [])]
+    raw = spark.createDataFrame(rows, f"id int, gross_weight string, pallet_amount string, shipment_date string, origin_country string, cost_items array<{item}>")
+    got = sorted(tuple(r) for r in pm.rejected_values(raw, ["id"]).fillna(0).collect())
+    assert got == [(1, "gross_weight", 0, "x kg"), (1, "origin_country", 0, "Atlantis"), (1, "pallet_amount", 0, "3.7"),
+                   (1, "shipment_date", 0, "soon"), (1, "total_cost_in_shipment_currency", 2, "-")]
+    assert pm.normalize(raw).count() == 3
+    assert pm.rejected_values(raw.select("id"), ["id"]).count() == 0
