@@ -1,11 +1,13 @@
 """Main text of HTML pages by the distribution of text over lines.
 
 Markup is stripped into lines: a block element or line break ends a line. Elements that say by their name, role, class
-or id that they are menus, adverts, forms and the like are set apart, unless nothing else has text; an `article` or `main`
-in them counts again. Other lines weigh as many characters as they have outside links. The weights are summed over a window of `WINDOW` lines. Text surges where the sum rises above the
-threshold and dives where it falls to 0; the lines with weight between a surge and the next dive are the main text.
-In an `article` or `main` element any weight is a surge, and fewer than `WINDOW` lines of links in a row weigh too, as headlines
-do; its end is a dive. The lines outside keep their weights: a page whose articles are teasers gives its body as well.
+or id that they are menus, adverts, forms and the like are set apart, unless they hold nearly all of the text; an `article` or `main`
+in them counts again. Other lines weigh as many characters as they have outside links; a line that is mostly links weighs nothing.
+The weights are summed over a window of `WINDOW` lines. Text surges where the sum rises above the threshold, back to where it last
+was 0, and dives where it falls to 0. The main text is what lies between, but for longer runs of links. An `article` or `main`
+is text from its first line with weight to its last, links between included; fewer than `WINDOW` lines of links in a row, as headlines are, weigh too, and so do
+links with some text beside them, as references are. The lines outside keep their weights, so a page whose articles are
+teasers gives its body as well, unless the marked elements hold most of the text.
 """
 
 from __future__ import annotations
@@ -52,9 +54,19 @@ MODIFIERS = _words("has no non not with without is hide")
 TALK = _words("comment comments commentlist disqus reply replies respond")
 #: Words that an article may use for its own sections and boxes.
 OWN = _words("alert notice disclaimer copyright search banner overlay modal menu promo promotion widget toolbar popup")
+#: A class, id or role that ends with one of these is a sign, whatever it begins with: reader-comments, google-ads.
+ENDING = TALK | _words("ad ads advert adverts advertisement advertising sponsored newsletter cookie cookies social sharing related recommended")
+ADVERTS = re.compile(r"(?:ads?|adverts?)(?:sense|banner|" + "|".join(sorted(PIECES)) + r")$")
 HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 BY_SIGN, BY_NAME, NEVER = 1, 2, 3  # why an element is apart: only the first two may hold an article or be the text of a page
 UNCLOSED = ("nav", "header", "form")
+#: Elements that a start tag of one of a group ends, up to the element that may hold them.
+ENDS = {name: (group, _words(holder)) for group, holder in (
+    (_words("li"), "ul ol menu dir"), (_words("dt dd"), "dl"), (_words("td th"), "tr table"), (_words("tr"), "table tbody thead tfoot"),
+    (_words("option"), "select datalist optgroup"),
+) for name in group}
+LISTS = ("ul", "ol", "menu", "dir")
+NESTED = 1 / 10  # of all text must stand outside what is set apart, if no article does
 
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _REST = re.compile(r"(?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+>")
@@ -71,6 +83,11 @@ def _sign(name: str, kind: str) -> str:
     whole = "".join(parts)
     if whole in SIGNS or whole == "header":
         return whole
+    if any(ADVERTS.match(part) for part in parts):
+        return "ads"
+    last = [part for part in parts if part not in PIECES and not part.isdigit() and len(part) > 1]
+    if last and last[-1] in ENDING and MODIFIERS.isdisjoint(parts) and parts[-1] not in STATES:
+        return last[-1]
     at = 0
     while at < len(parts) - 1 and parts[at] in PLACES:
         at += 1
@@ -129,8 +146,19 @@ class _Lines:
         if name in VOID:
             return
         self.link = False
-        if name == "p" and self.open and self.open[-1][0] == "p":
+        if self.open and self.open[-1][0] == "p":  # no block stands in a paragraph
             self._pop()
+        if name in ENDS:
+            group, holders = ENDS[name]
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in group:
+                    while len(self.open) > i:
+                        self._pop()
+                    break
+                if self.open[i][0] in holders or i < len(self.open) - 8:
+                    break
+        elif self.open and self.open[-1][0] == "li" and self.open[-1][1] and not any(self.count[x] for x in LISTS):
+            self._pop()  # a list item outside of a list that was never closed
         if name in MARKED:  # a menu, header or form that was never closed does not hold the article
             while any(self.count[x] for x in UNCLOSED):
                 self._pop()
@@ -210,20 +238,28 @@ def lines(page: str) -> list[tuple[str, int, bool, int]]:
 
 
 def _weights(all_lines: list[tuple[str, int, bool]]) -> list[int]:
+    """What each line weighs; in marked elements short runs of links weigh as text, and so do links with some text."""
     out, run = [], 0  # run: lines of links up to here
     for i, (text, free, marked) in enumerate(all_lines):
-        out.append(free if 2 * free >= len(text) else 0)
+        out.append(free if (10 if marked else 2) * free >= len(text) else 0)
         run = run + 1 if marked and not out[-1] else 0
         following = all_lines[i + 1] if i + 1 < len(all_lines) else ("", 0, False)
-        if 0 < run < WINDOW and not (following[2] and 2 * following[1] < len(following[0])):
+        if 0 < run < WINDOW and not (following[2] and 10 * following[1] < len(following[0])):
             out[i + 1 - run :] = [len(t) for t, _, _ in all_lines[i + 1 - run : i + 1]]
     return out
 
 
 def main_text(page: str | None) -> str:
-    """The main text, of what is set apart if there is no other; empty if there is none."""
+    """The main text; empty if there is none. What is set apart counts if an article is in it, or if it holds nearly all of the text."""
     all_lines = lines(page) if page else []
-    for most in (0, BY_SIGN, BY_NAME):
+    weight = [0, 0, 0]
+    for text, free, marked, apart in all_lines:
+        if apart < NEVER and 2 * free >= len(text):
+            weight[apart] += free
+        if marked and not apart:
+            return _text([line[:3] for line in all_lines if not line[3]]) or _text([line[:3] for line in all_lines if line[3] <= BY_NAME])
+    level = next((k for k in (0, BY_SIGN) if sum(weight[: k + 1]) > NESTED * sum(weight)), BY_NAME)
+    for most in range(level, NEVER):
         if text := _text([line[:3] for line in all_lines if line[3] <= most]):
             return text
     return ""
@@ -231,23 +267,37 @@ def main_text(page: str | None) -> str:
 
 def _text(all_lines: list[tuple[str, int, bool]]) -> str:
     """The lines between surges and dives, joined by spaces."""
+    weight = _weights(all_lines)
+    of_marked = sum(w for w, line in zip(weight, all_lines) if line[2])
+    if 2 * of_marked >= sum(weight) > 0:  # what stands outside are notices
+        all_lines, weight = [line for line in all_lines if line[2]], [w for w, line in zip(weight, all_lines) if line[2]]
     if not all_lines:
         return ""
-    weight = _weights(all_lines)
-    sums = np.convolve(weight, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of a line and the next ones
-    surge = min(SURGE, sums.max() / 2)
-    keep, inside, within = [], False, False
-    for (text, _, marked), w, total in zip(all_lines, weight, sums.tolist()):
-        inside = inside and (marked or not within)
-        inside = (inside or total > (0 if marked else surge)) and total > 0
-        within = marked
-        if inside and w:
-            keep.append(text)
+    sums = np.convolve(weight, np.ones(WINDOW, np.int64))[WINDOW - 1 :].tolist()  # of a line and the next ones
+    surge = min(SURGE, max(sums) / 2)
+    keep, start = [], 0
+    while start < len(all_lines):
+        # from here to the next dive, or to the end or begin of a marked element
+        marked, end = all_lines[start][2], start
+        while end < len(all_lines) and (marked or sums[end] > 0) and all_lines[end][2] == marked:
+            end += 1
+        if any(total > (0 if marked else surge) for total in sums[start:end]):
+            some = [i for i in range(start, end) if weight[i]]
+            for before, i in zip([None, *some], some):
+                # links between two lines of text are a part of them
+                if before is not None and (marked or i - before <= WINDOW):
+                    keep += [all_lines[k][0] for k in range(before + 1, i)]
+                keep.append(all_lines[i][0])
+        start = max(end, start + 1)
     return " ".join(keep)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """(row, main_text) of every page: its columns, whatever their names, and its main text; null html gives an empty one."""
+    """(row, main_text) of every page: its columns, whatever their names, and its main text.
+
+    Null, empty and blank html gives an empty text, repeated rows a text each, an empty table no rows. A page of any length is read
+    once from its begin to its end; it must fit into a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

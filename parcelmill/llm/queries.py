@@ -107,7 +107,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each page, from its main text, declared language, address and host."""
     model = langid.fit(table(spark, sf_dir, "documents"))
     pages = html_text.extract(table(spark, sf_dir, "pages"))
-    declared = F.regexp_extract("row.html", r"(?i)<html\b[^>]*\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    tag = F.regexp_extract("row.html", r"(?i)<html\b([^>]*+)", 1)  # of the first one, so nothing is tried again
+    declared = F.regexp_extract(tag, r"(?i)\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     host, _ = url_filter.host_and_path(F.col("row.url"))
     found = langid.identify(pages, model, F.col("row.page_id"), F.col("main_text"), declared, host)
     return found.select(F.col("key").alias("page_id"), "lang", "confidence", "text_lang", "n_trigrams")

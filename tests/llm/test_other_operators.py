@@ -175,6 +175,62 @@ def test_only_boilerplate_is_set_apart(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG, MORE = ("word " * 60).strip(), ("more " * 60).strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<form><p>{LONG}</p><p>{MORE}</p></form><div>(c) 2020 Acme</div>", f"{LONG} {MORE} (c) 2020 Acme"),
+    (f"<li class=share>Share<div><p>{LONG}</p></div>", LONG), (f"<p class=notice>We use cookies<div>{LONG}</div>", LONG),
+    (f"<ul><li class=share>Share<li>{LONG}</ul><p>{MORE}</p>", f"{LONG} {MORE}"), (f"<p class=notice>Note<h2>Head</h2><p>{LONG}", f"Head {LONG}"),
+    (f"<table><tr><td class=ad>Buy<td>{LONG}<tr><td>{MORE}</table>", f"{LONG} {MORE}"),
+    (f"<article><p>{LONG}</p><p>See <a href=x>a very long title of another page</a></p><p>{MORE}</p></article>", f"{LONG} See a very long title of another page {MORE}"),
+    (f"<p>{LONG}</p><p>As <a href=x>a very long title of another page</a></p><p>{MORE}</p>", f"{LONG} As a very long title of another page {MORE}"),
+    (f"<article><p>{LONG}</p><ol>" + "<li>[1] Smith: <a href=x>A paper</a>, 2001</li>" * 5 + "</ol></article>", f"{LONG} " + " ".join(["[1] Smith: A paper, 2001"] * 5)),
+    (f"<article><p>{LONG}</p>" + "<p><a href=x>entry</a></p>" * 4 + f"<p>{MORE}</p></article>", f"{LONG} entry entry entry entry {MORE}"),
+    (f"<h1>Title</h1><p>By A</p><p>1 May</p><p>Intro</p><p>{LONG}</p>", f"Title By A 1 May Intro {LONG}"),
+    *[(f"<article><p>{LONG}</p></article><div {name}><p>{MORE}</p></div>", LONG) for name in ("class='reader-comments'", "id='user-comments'", "class=google-ads", "class=adsbox")],
+    *[(f"<div><p>{LONG}</p><div {name}>{MORE}</div></div>", LONG) for name in ("class='reader-comments'", "id='user-comments'", "class=google-ads", "class=adsbox", "class='post-share-buttons'")],
+    (f"<article><p>{LONG}</p></article><p>{'All rights are reserved by law. ' * 5}</p>", LONG),
+    (f"<div class='no-comments'><p>{LONG}</p></div>", LONG),
+])
+def test_bodies_stay_and_comments_and_adverts_go(page, text):
+    assert html_text.main_text(page) == text
+
+
+def brute_text(all_lines):
+    """Surge and dive line by line: each line asks for the stretch of windows with text that it lies in."""
+    n = len(all_lines)
+    weight = [free if 2 * free >= len(text) else 0 for text, free in all_lines]
+    window = [sum(weight[i : i + 3]) for i in range(n)]
+    surge = min(80, max(window, default=0) / 2)
+    inside = []
+    for i in range(n):
+        first, last = i, i
+        while first > 0 and window[first - 1] > 0:
+            first -= 1
+        while last + 1 < n and window[last + 1] > 0:
+            last += 1
+        inside.append(window[i] > 0 and max(window[first : last + 1]) > surge)
+    near = lambda i: any(weight[j] for j in range(max(0, i - 2), i)) and any(weight[j] for j in range(i, min(n, i + 3)))
+    joined = [any(weight[b] and weight[a] and inside[b] and inside[a] and b < i < a <= b + 3 for b in range(max(0, i - 2), i) for a in range(i + 1, min(n, i + 3))) for i in range(n)]
+    return " ".join(text for i, (text, _) in enumerate(all_lines) if inside[i] and (weight[i] or joined[i] and near(i)))
+
+
+def test_surge_and_dive_equal_brute_force():
+    draw = random.Random(4)
+    for _ in range(300):
+        own = []
+        for i in range(draw.randint(0, 25)):
+            text = f"{i:02}" + "x" * draw.choice([0, 1, 5, 20, 60, 150])
+            own.append((text, 0 if draw.random() < 0.35 else len(text)))
+        page = "".join(f"<p>{t if free else f'<a href=x>{t}</a>'}</p>" for t, free in own)
+        assert html_text.main_text(page) == brute_text(own)
+
+
+def test_no_pages(spark):
+    assert html_text.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
 def test_lines_far_from_text_are_left_out():
     page = "<p>skip to</p>" + "<div></div><p>x</p>" * 4 + "<p>" + "word " * 60 + "</p><p>" + "more " * 60 + "</p>" + "<p><a href=x>link link link</a></p>" * 4 + "<p>end</p>"
     assert html_text.main_text(page).endswith(("more " * 60).strip()) and "link" not in html_text.main_text(page)
