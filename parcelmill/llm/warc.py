@@ -3,7 +3,8 @@
 Executors write and read the archives through Arrow's file systems, in a folder that all of them share. An attempt of a
 task writes files under names of its own and reports them as rows of a table; so files of lost or repeated attempts are
 never read. The reader inflates one member after the other from a stream, takes header lines up to the blank line and
-then as many bytes as Content-Length says, and verifies both digests; it holds one record at a time.
+then as many bytes as Content-Length says, verifies both digests and that record and member end together; it holds one
+record at a time, and after damage goes on at the next member.
 """
 
 from __future__ import annotations
@@ -95,26 +96,66 @@ def write_warc(pages: DataFrame, folder: str, page: str = "page_id", url: str =
     return stored(todo.mapInArrow(write, "path string, records long, bytes long"), "archives")
 
 
-class _Members:
-    """The inflated bytes of a stream of gzip members, as they are asked for."""
+_MAGIC = b"\x1f\x8b\x08"  # how a gzip member begins
+
+
+class _Archive:
+    """The bytes of a stream that are not read yet, from the front."""
 
     def __init__(self, stream):
-        self.stream, self.raw, self.held = stream, b"", bytearray()
-        self.member = zlib.decompressobj(31)
+        self.stream, self.raw = stream, b""
+
+    def has(self, n: int) -> bool:
+        while len(self.raw) < n and (more := self.stream.read(CHUNK)):
+            self.raw += more
+        return len(self.raw) >= n
+
+    def take(self) -> bytes:
+        out, self.raw = self.raw or self.stream.read(CHUNK), b""
+        return out
+
+    def seek_member(self) -> bool:
+        """Drop what comes before the next begin of a member; False if there is none."""
+        while self.has(len(_MAGIC)):
+            at = self.raw.find(_MAGIC)
+            if at >= 0:
+                self.raw = self.raw[at:]
+                return True
+            self.raw = self.raw[1 - len(_MAGIC) :]
+            if not (more := self.stream.read(CHUNK)):
+                return False
+            self.raw += more
+        return False
+
+
+class _Member:
+    """The inflated bytes of one gzip member, as they are asked for."""
+
+    def __init__(self, archive: _Archive):
+        self.archive, self.held, self.seen = archive, bytearray(), bytearray()
+        self.inflate, self.damaged = zlib.decompressobj(31), False
 
     def more(self) -> bool:
-        """Inflate some more; False at the end of the stream."""
-        if self.member.eof:
-            self.raw, self.member = self.member.unused_data, zlib.decompressobj(31)
-        self.raw = self.raw or self.stream.read(CHUNK)
-        if not self.raw:
+        """Inflate some more; False at the end of the member and where it is damaged."""
+        if self.inflate.eof or self.damaged:
             return False
-        self.held += self.member.decompress(self.raw, CHUNK)
-        self.raw = self.member.unconsumed_tail
-        return True
+        raw = self.archive.take()
+        try:
+            out = self.inflate.decompress(raw, CHUNK)
+        except zlib.error:
+            out = b""
+            self.damaged = True
+        if not raw and not out and not self.inflate.eof:
+            self.damaged = True  # cut off
+        left = b"" if self.damaged else self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+        self.seen += raw[: len(raw) - len(left)]
+        # of a damaged member only its first byte is given up: the next one may begin anywhere after it
+        self.archive.raw = bytes(self.seen[1:]) if self.damaged else left
+        self.held += out
+        return not self.damaged
 
     def line(self) -> bytes | None:
-        """The next line without its end; None at the end of the stream."""
+        """The next line without its end; None if there is none."""
         at = 0
         while (end := self.held.find(b"\r\n", at)) < 0:
             at = max(0, len(self.held) - 1)
@@ -125,35 +166,76 @@ class _Members:
         return out
 
     def take(self, n: int) -> bytes:
-        """n bytes, or fewer at the end of the stream."""
+        """n bytes, or fewer at the end."""
         while len(self.held) < n and self.more():
             pass
         out = bytes(self.held[:n])
         del self.held[:n]
         return out
 
+    def ended(self) -> bool:
+        """Whether all of it is read, and its own checksum was right."""
+        while not self.held and self.more():
+            pass
+        return not self.held and self.inflate.eof
+
+
+def _record(member: _Member) -> tuple[dict[str, str], bytes, bool] | None:
+    """The next record of a member; None if none begins there."""
+    version = member.line()
+    if version is None or not version.startswith(b"WARC/"):
+        return None
+    fields: dict[str, str] = {}
+    while line := member.line():
+        key, _, value = line.decode("utf-8", "replace").partition(":")
+        fields[key.strip().lower()] = value.strip()
+    length = fields.get("content-length", "")
+    if line is None or not (length.isascii() and length.isdecimal()):
+        return fields, b"", False
+    block = member.take(int(length))
+    intact = len(block) == int(length) and member.take(4) == b"\r\n\r\n"
+    payload = block.partition(b"\r\n\r\n")[2]
+    intact = intact and fields.get("warc-block-digest", _digest(block)) == _digest(block)
+    if fields.get("warc-type") == "response":
+        intact = intact and fields.get("warc-payload-digest", _digest(payload)) == _digest(payload)
+    return fields, block, intact
+
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes, bool]]:
-    """(header fields, block, intact) of every record; a record that is cut off or misframed is the last, not intact."""
-    members = _Members(stream)
-    while (version := members.line()) is not None:
-        fields: dict[str, str] = {}
-        while line := members.line():
-            key, _, value = line.decode("utf-8", "replace").partition(":")
-            fields[key.strip().lower()] = value.strip()
-        length = fields.get("content-length", "")
-        if line is None or not version.startswith(b"WARC/") or not length.isdecimal():
-            yield fields, b"", False
-            return
-        block = members.take(int(length))
-        framed = len(block) == int(length) and members.take(4) == b"\r\n\r\n"
-        payload = block.partition(b"\r\n\r\n")[2]
-        intact = framed and fields.get("warc-block-digest", _digest(block)) == _digest(block)
-        if fields.get("warc-type") == "response":
-            intact = intact and fields.get("warc-payload-digest", _digest(payload)) == _digest(payload)
-        yield fields, block, intact
-        if not framed:
-            return
+    """(header fields, block, intact) of every record.
+
+    A record is intact if its digests are right, and it is all of one member whose checksum is right. Of a damaged member comes
+    what can be read, not intact; the reader goes on at the next member. So do other bytes between members and after the last.
+    """
+    archive, lost = _Archive(stream), False  # lost: looking for a member after damage, which was reported
+    while archive.has(1):
+        if not (archive.has(len(_MAGIC)) and archive.raw.startswith(_MAGIC)):
+            if not lost:
+                yield {}, b"", False
+            lost = True
+            if not archive.seek_member():
+                return
+        member, found = _Member(archive), 0
+        while not member.ended():
+            if member.damaged and not member.held:
+                break
+            one = _record(member)
+            if one is None:
+                break
+            fields, block, intact = one
+            found += 1
+            alone = member.ended() and found == 1
+            yield fields, block, intact and alone
+        if not member.ended():  # damaged, or more than records
+            while member.more():
+                member.held.clear()
+            if not found and not lost:
+                yield {}, b"", False
+            lost = member.damaged
+        elif found:
+            lost = False
+        elif not lost:
+            yield {}, b"", False  # an empty member
 
 
 RECORDS = (
@@ -165,7 +247,9 @@ RECORDS = (
 def read_warc(spark: SparkSession, archives: DataFrame, payload: bool = True) -> DataFrame:
     """One row for each record of the archives named in the column `path`; payload only where it is asked for.
 
-    The payload of a revisit is null; its digest and length are those of the response. Digests are given as hex.
+    The payload of a revisit is null; its digest and length are those of the response. Digests are given as hex. A record that is
+    damaged, misframed or not alone in its member has intact = false and what fields could be read; the others are not touched by it.
+    An archive without bytes has no records.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

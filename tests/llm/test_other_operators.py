@@ -385,3 +385,49 @@ def test_no_labels_and_no_rows(spark):
     assert model.languages == [] and langid.identify(empty, model, F.col("doc_id"), F.col("text")).count() == 0
     rows = spark.createDataFrame([(1, "some text", None)], "doc_id int, text string, lang string")
     assert [r.lang for r in langid.identify(rows, langid.fit(rows), F.col("doc_id"), F.col("text")).collect()] == ["und"]
+
+
+# --- WARC: damage ---
+
+
+def _archive(n=6):
+    return [gzip.compress(warc.record(i, f"http://x/{i}", (f"page {i} " * (20 + 40 * i)).encode())) for i in range(n)]
+
+
+def _read(data):
+    return list(warc.records(io.BytesIO(data)))
+
+
+def test_a_flipped_byte_costs_one_record():
+    members = _archive()
+    whole = b"".join(members)
+    assert [intact for *_, intact in _read(whole)] == [True] * 6
+    ends = np.cumsum([len(m) for m in members])
+    for at in range(0, len(whole), 10):
+        broken = bytearray(whole)
+        broken[at] ^= 0x55
+        found = _read(bytes(broken))
+        good = {int(f["x-page-id"]) for f, _, intact in found if intact}
+        hit = int(np.searchsorted(ends, at, side="right"))
+        assert good >= set(range(6)) - {hit} and len(found) == 6, at
+
+
+def test_records_and_members_end_together():
+    one, two = (warc.record(i, None, b"x" * 50) for i in (1, 2))
+    pack = gzip.compress
+    assert [i for *_, i in _read(pack(one + two) + pack(one))] == [False, False, True]
+    assert [i for *_, i in _read(pack(one[:90]) + pack(one[90:]) + pack(two))] == [False, False, True]
+    assert [i for *_, i in _read(pack(one) + b"trailing")] == [True, False]
+    assert [i for *_, i in _read(pack(one) + b"between" + pack(two))] == [True, False, True]
+    assert [i for *_, i in _read(pack(one)[:-12])] == [False] and _read(b"") == [] and [i for *_, i in _read(b"no")] == [False]
+    assert [i for *_, i in _read(pack(b"") + pack(b"not a record") + pack(one))] == [False, False, True]
+    assert [i for *_, i in _read(pack(one + b"more") + pack(two))] == [False, True]
+
+
+def test_members_over_many_chunks(monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK", 7)
+    members = _archive(3)
+    assert [intact for *_, intact in _read(b"".join(members))] == [True] * 3
+    broken = bytearray(b"".join(members))
+    broken[len(members[0]) + 40] ^= 1
+    assert [intact for *_, intact in _read(bytes(broken))] == [True, False, True]
