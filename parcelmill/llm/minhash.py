@@ -296,7 +296,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows whose id is the smallest of its group; of repeated rows one. Rows with a null id stay."""
+    """The rows whose id is the smallest of its group; rows with a null id stay.
+
+    Of rows with one id one stays, that with the smallest text, of equal texts that with the smallest hash of its columns.
+    """
     kept = near_duplicates(docs, id_col, text, k).filter("id = component").select("id").distinct()
-    rows = docs.join(kept, docs[f"`{id_col}`"] == kept["id"], "left_semi").dropDuplicates([id_col])
-    return rows.unionByName(docs.filter(F.col(id_col).isNull()))
+    rows = docs.join(kept, docs[f"`{id_col}`"] == kept["id"], "left_semi")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = rows.groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.min_by(whole, F.struct(F.col(f"`{text}`"), F.xxhash64(*hashed))).alias("__row"))
+    return first.select("__row.*").unionByName(docs.filter(F.col(id_col).isNull()))
