@@ -281,6 +281,18 @@ def test_lanes_begin_at_cuts_and_bound_the_steps():
     assert (groups[1:, 0] == groups[:-1, 1]).all() and (groups[1:, 2] == groups[:-1, 3]).all()
 
 
+def test_ranks_merge_as_the_file_does():
+    pieces = align.byte_level_pieces(A)
+    fast, library = align.byte_level_encoder(A, pieces), tokens.library_tokenizer(A, special=False)
+    texts = [" " + t for t in odd_texts(400, 11) if len(t) < 20000]
+    for piece in pieces[:50256]:
+        try:
+            texts.append(piece.decode())
+        except UnicodeDecodeError:
+            continue
+    assert [fast(t) for t in texts] == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def test_tables_of_pieces_cover_the_vocabularies():
     vocabulary = json.load(open(A, encoding="utf-8"))["model"]["vocab"]
     pieces = align.byte_level_pieces(A)
