@@ -60,6 +60,32 @@ def page_tracking(pages: DataFrame) -> DataFrame:
     return pages.select("invoice_id", "page_num", has_tracking(text).alias("has_tracking"), has_start(text).alias("has_start"))
 
 
+def page_facts(pages: DataFrame) -> DataFrame:
+    """(invoice_id, page_num, page_chunk, facts): what the other pages of an invoice need to know of a page, dealt by chunk.
+
+    All facts come from one look at the text and are one number, read by `tracked`, `started` and `year_of`: whatever a plan
+    asks of them, it asks for the same columns, so that all its uses share this scan and this exchange.
+    """
+    text = F.col("text")
+    year = F.coalesce(p.found(text, YEAR).cast("int"), F.lit(0))
+    facts = year * 4 + has_tracking(text).cast("int") * 2 + has_start(text).cast("int")
+    keyed = pages.select("invoice_id", "page_num", chunk_of(F.col("page_num")).alias("page_chunk"), facts.alias("facts"))
+    # The filter is the one that the joins would add to some of the uses.
+    return keyed.filter("invoice_id is not null and page_chunk is not null").repartition("invoice_id", "page_chunk")
+
+
+def tracked(facts: Column) -> Column:
+    return facts.bitwiseAND(2) != 0
+
+
+def started(facts: Column) -> Column:
+    return facts.bitwiseAND(1) != 0
+
+
+def year_of(facts: Column) -> Column:
+    return F.when(facts >= 4, F.floor(facts / 4).cast("int"))
+
+
 def _year_and_page(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.min_by("year", F.when(F.col("year").isNotNull(), F.col("page_num"))).alias("year"),
@@ -80,7 +106,7 @@ def invoice_year(pages: DataFrame) -> DataFrame:
 
 def chunk_year(pages: DataFrame) -> DataFrame:
     """The invoice year per (invoice_id, page_chunk): a join key that no single invoice overloads."""
-    keyed = _page_years(pages).withColumn("page_chunk", chunk_of(F.col("page_num")))
+    keyed = page_facts(pages).select("invoice_id", "page_num", "page_chunk", year_of(F.col("facts")).alias("year"))
     per_chunk = _year_and_page(keyed, "invoice_id", "page_chunk")
     first_page = F.when(F.col("year").isNotNull(), F.col("page_num"))
     year = F.min_by("year", first_page).over(Window.partitionBy("invoice_id"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelmill.functions import patterns as p
-from parcelmill.operators.pages import chunk_of, has_tracking, is_noise, page_tracking
+from parcelmill.operators.pages import has_tracking, is_noise, page_facts, started, tracked
 
 BLOCK_KEY = ["invoice_id", "invoice_page", "page_block"]
 
@@ -46,10 +46,9 @@ def _started_blocks(pages: DataFrame) -> DataFrame:
 def _continuations(pages: DataFrame) -> DataFrame:
     """(invoice_id, page_num, home_page, home_starts): the pages without a tracking number after one with one, and
     whether a block starts on that one."""
-    keyed = page_tracking(pages).withColumn("page_chunk", chunk_of(F.col("page_num")))
-    # Both uses of the flags below read this one exchange, so the texts are scanned for them only once. The
-    # filter is the one that the join would add to either use.
-    flags = keyed.filter("invoice_id is not null and page_chunk is not null").repartition("invoice_id", "page_chunk")
+    facts = F.col("facts")
+    # Both uses of the flags below, and that of the invoice year, read one exchange: the texts are scanned for them once.
+    flags = page_facts(pages).select("invoice_id", "page_num", "page_chunk", tracked(facts).alias("has_tracking"), started(facts).alias("has_start"))
     tracking_page = F.when(F.col("has_tracking"), F.struct("page_num", "has_start"))
     in_chunk = Window.partitionBy("invoice_id", "page_chunk").orderBy("page_num").rowsBetween(Window.unboundedPreceding, 0)
     near = flags.withColumn("near_home", F.last(tracking_page, ignorenulls=True).over(in_chunk))
