@@ -43,6 +43,27 @@ def test_read_pages_from_text_files(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("Invoice 7+8", 1, "one\ntwo"), ("Invoice 7+8", 2, "three")]
 
 
+@pytest.mark.parametrize("part_bytes", ["4k", "128m"])
+def test_a_long_text_file_is_read_in_parts(spark, tmp_path, part_bytes):
+    draw = random.Random(3)
+    texts = {f"I {i}.txt": [f"page {n} é " + "x" * draw.choice([0, 10, 300, 9000]) + "\nend" for n in range(draw.randint(1, 60))] for i in range(7)}
+    texts["empty pages.txt"] = ["a", "", "", "b"]
+    for name, pages in texts.items():
+        (tmp_path / name).write_text("\f".join(pages), encoding="utf-8")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", part_bytes)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        if part_bytes == "4k":
+            assert spark.read.text(str(tmp_path), lineSep="\f").rdd.getNumPartitions() > 50
+        rows = pm.read_pages(spark, str(tmp_path), "text").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = sorted((name[:-4], n, text) for name, pages in texts.items() for n, text in enumerate(pages, 1))
+    assert sorted(tuple(r) for r in rows) == want
+
+
 def test_extract_shipments(spark, page_rows):
     rows = pm.extract_shipments(pm.sources.pages.as_pages(page_rows)).orderBy("invoice_id", "invoice_page", "page_block").collect()
     first = rows[0].asDict(recursive=True)
