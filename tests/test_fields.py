@@ -9,7 +9,8 @@ import parcelmill as pm
 from parcelmill.operators import costs, dates
 from parcelmill.operators.costs import with_cost_items
 from parcelmill.operators.identifiers import identifier
-from parcelmill.operators.locations import line_kind
+from parcelmill.operators.locations import line_kind, without_aliases
+from parcelmill.functions.dictionaries import COUNTRY_ALIASES
 from parcelmill.functions.patterns import fold_case
 
 
@@ -270,3 +271,22 @@ def test_cost_rows_of_any_length(spark):
     texts = ["Maut " + "1,00 " * 100_000, "Maut 1" + ".000" * 100_000 + ",00 1,00 2,00"]
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [len(r[0]) for r in frame.select(costs._parsed_rows(F.col("text"))).collect()] == [1, 1]
+
+
+def test_country_names_are_removed_one_after_the_other(spark):
+    draw = random.Random(21)
+    aliases = list(COUNTRY_ALIASES)
+    cases = ["hongkongermany", "usausa", "uususasa", "chchinaina", "ITaLItalyIEN", "hong hongkongkong", "deutschlandusa", "", "Köln", None, "uſa"]
+    for _ in range(400):
+        text = "".join(draw.choice([draw.choice(aliases), draw.choice(aliases).upper(), "x", " ", "ä", draw.choice(aliases)[:3], draw.choice(aliases)[2:]]) for _ in range(draw.randint(0, 5)))
+        at = draw.randint(0, len(text))
+        cases.append(text[:at] + draw.choice(["", draw.choice(aliases)]) + text[at:])
+
+    def plain(text):
+        for alias in aliases:
+            text = re.sub(alias, "", text, flags=re.I)
+        return text
+
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "n int, text string")
+    found = in_order(rows.select("n", without_aliases(F.col("text")).alias("left")), "left")
+    assert [(t, f) for t, f in zip(cases, found) if f != (plain(t) if t is not None else None)] == []
