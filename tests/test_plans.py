@@ -1,13 +1,17 @@
 """Properties of the physical plans that have to hold at any size."""
 
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import parcelmill as pm
 from invoicebench import rendering
 from invoicebench.queries import QUERIES
+from parcelmill.functions import patterns as p
+from parcelmill.functions.dictionaries import COUNTRY_ALIASES
 
 SF = "/root/testdata/sf0.001"
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -76,3 +80,25 @@ def test_each_python_step_and_each_cascade_runs_once(spark):
     documents = rendering.table(spark, SF, "documents").select("doc_id", "text")
     assert plan(pm.with_service(documents)).count("ArrowEvalPython") == 1
     assert plan(pm.with_identifier(documents)).count("1Z[0-9A-Z]{8,20}") == 1
+
+
+def test_the_currency_of_a_block_is_looked_up_once(spark, monkeypatch):
+    from parcelmill.operators import costs
+
+    # A pattern that takes exponential time on this text, were it searched for every one of the 400 rows.
+    monkeypatch.setattr(costs, "BLOCK_CURRENCY", "(?:a|a)(?:a|aa)+(X)")
+    text = "a" * 33 + "\n" + "\n".join(f"Maut {n},00 {n},00" for n in range(400))
+    blocks = spark.createDataFrame([(text,)], "text string")
+    start = time.perf_counter()
+    assert costs.with_cost_rows(blocks).selectExpr("size(cost_rows) as n").first().n == 400
+    assert time.perf_counter() - start < 60
+
+
+def test_pattern_of_blanks_takes_no_other_character_and_names_are_found_by_their_pattern_and_the_search_before_it(spark):
+    chars = spark.createDataFrame([(chr(n),) for n in range(1, 0x10000) if not 0xD800 <= n < 0xE000], "c string").cache()
+    blank = chars.filter(F.rlike("c", F.lit(f"^{p.BLANK}$"))).select("c").collect()
+    assert {r.c for r in blank} == set(p.BLANKS)
+    assert {r.c for r in chars.filter(~F.rlike("c", F.lit(f"(?s)^{p.NOT_BLANK}$"))).select("c").collect()} == set(p.BLANKS)
+    folded = F.lower(F.translate("c", "\u017f\u0130\u0131\u212a", "siik"))
+    for letter in sorted(set("".join(COUNTRY_ALIASES)) - {" "}):
+        assert chars.filter(F.rlike("c", F.lit(f"(?iu)^{letter}$")) & (folded != letter)).count() == 0, letter
