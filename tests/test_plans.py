@@ -82,6 +82,14 @@ def test_each_python_step_and_each_cascade_runs_once(spark):
     assert plan(pm.with_identifier(documents)).count("1Z[0-9A-Z]{8,20}") == 1
 
 
+def test_rendering_moves_one_row_an_order_and_line_item_in_parts_that_grow_with_them(spark, monkeypatch):
+    orders, lineitem = rendering.table(spark, SF, "orders"), rendering.table(spark, SF, "lineitem")
+    rows = orders.count() + lineitem.count()
+    assert spark.sql(rendering.slot_rows_sql(), orders=orders, lineitem=lineitem).count() == rows
+    monkeypatch.setattr(rendering, "ROWS_PER_PART", 100)
+    assert rendering.rendered_pages(orders, lineitem).rdd.getNumPartitions() == -(-rows // 100)
+
+
 def test_the_currency_of_a_block_is_looked_up_once(spark, monkeypatch):
     from parcelmill.operators import costs
 
