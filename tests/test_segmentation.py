@@ -116,3 +116,10 @@ def test_pages_without_a_number_are_an_error(spark):
     with pytest.raises(Exception, match="a page without a number, of invoice I"):
         pm.segment(pages).collect()
     assert pages.select("text").count() == 3
+
+
+def test_line_breaks_blanks_and_folded_case_of_whole_pages(spark):
+    # The fold of a page is cut into the same lines as the page, whatever letters get longer or shorter by it.
+    text = " İSTANBUL\r\nReChnung ſ\rInvoiCe \n \n 1Z0000000000000001 ΑΣ\nKUNDEN-NR\nSEITE  7\nSEITE x\r\n\tLUPſ\n"
+    pages = pm.sources.pages.as_pages(spark.createDataFrame([("A", 1, text)], "invoice_id string, page_num int, text string"))
+    assert [r.text for r in pm.segment(pages).collect()] == ["1Z0000000000000001 ΑΣ\nSEITE x"]
