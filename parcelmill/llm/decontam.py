@@ -18,7 +18,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.functions import arrow_udf
 
 from parcelmill.llm import bytetext
 from parcelmill.llm.scratch import stored
@@ -109,9 +108,19 @@ def _runs(covered: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.n
     return out
 
 
-def _scan(df: DataFrame, text: str, part) -> DataFrame:
-    """Add the hits of one slice to (row, n_words, runs, items)."""
-    schema = df.schema
+def without_runs(text: str, runs: list[dict]) -> str:
+    """The text without the bytes of the runs; what is left on both sides of a run is joined by a space."""
+    raw, at, kept = text.encode(), 0, []
+    for cut in runs:
+        kept.append(raw[at : cut["start"]].rstrip())
+        at = cut["end"]
+    kept.append(raw[at:].lstrip())
+    return b" ".join(x for x in kept if x).decode()
+
+
+def _scan(df: DataFrame, text: str, part, cut: bool) -> DataFrame:
+    """Add the hits of one slice to (row, n_words, runs, items), and with `cut` the text without them where there are any."""
+    schema = T.StructType([*df.schema, T.StructField("clean", T.StringType())]) if cut else df.schema
     arrow = [f.name for f in schema]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,9 +149,10 @@ def _scan(df: DataFrame, text: str, part) -> DataFrame:
                     old_items = batch.column(3)[row + d].as_py() or []
                     runs.append(_merged(old_runs + fresh) if old_runs and fresh else old_runs or fresh)
                     items.append(list({*old_items, *found.get(d, ())}))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(runs, batch.schema.field(2).type), pa.array(items, batch.schema.field(3).type)], arrow
-            )
+            columns = [batch.column(0), pa.array(n_words, pa.int64()), pa.array(runs, batch.schema.field(2).type), pa.array(items, batch.schema.field(3).type)]
+            if cut:
+                columns.append(pa.array([without_runs(texts[i].as_py(), r) if r else None for i, r in enumerate(runs)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, arrow)
 
     return df.mapInArrow(scan, schema)
 
@@ -159,10 +169,11 @@ def _merged(runs: list[dict]) -> list[dict]:
     return out
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW, slice_mb: float = SLICE_MB) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", n: int = WINDOW, slice_mb: float = SLICE_MB, cut: bool = False) -> DataFrame:
     """(row, n_words, runs, items) for every document: its columns, number of words, hit runs and the items that occur.
 
-    A run holds the word numbers [first, last) and the bytes [start, end) of the UTF-8 text.
+    A run holds the word numbers [first, last) and the bytes [start, end) of the UTF-8 text. With `cut` there is `clean`, the text
+    without the runs where there are any: the last scan makes it, as a pass of its own would need a second worker a core.
     """
     spark = docs.sparkSession
     windows = stored(benchmark_windows(benchmark, item, item_text, n), "benchmark-windows")
@@ -175,33 +186,17 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     )
     for number in range(scans):
         rows = windows.filter(F.pmod("hash", F.lit(scans)) == number).toArrow()  # at most about slice_mb
-        out = _scan(out, text, spark.sparkContext.broadcast(_Slice(rows)))
+        out = _scan(out, text, spark.sparkContext.broadcast(_Slice(rows)), cut and number + 1 == scans)
         out = stored(out, "benchmark-scan") if number + 1 < scans else out
     return out
 
 
-@arrow_udf(T.StringType())
-def without_runs(texts: pa.Array, runs: pa.Array) -> pa.Array:
-    """The text without the bytes of the runs; what is left on both sides of a run is joined by a space."""
-    out = []
-    for text, cuts in zip(texts.to_pylist(), runs.to_pylist()):
-        if text and cuts:
-            raw, at, kept = text.encode(), 0, []
-            for cut in cuts:
-                kept.append(raw[at : cut["start"]].rstrip())
-                at = cut["end"]
-            kept.append(raw[at:].lstrip())
-            text = b" ".join(x for x in kept if x).decode()
-        out.append(text)
-    return pa.array(out, pa.string())
-
-
 def n_hit() -> Column:
     return F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = WINDOW, drop_share: float = 0.5) -> DataFrame:
     """The documents with the hit passages cut out; those with more than `drop_share` of their words hit are dropped."""
-    found = hits(docs, benchmark, text, n=n).withColumn("n_hit", n_hit()).filter(F.col("n_hit") <= drop_share * F.col("n_words"))
-    clean = F.when(F.col("n_hit") > 0, without_runs(F.col(f"row.`{text}`"), F.col("runs"))).otherwise(F.col(f"row.`{text}`"))
+    found = hits(docs, benchmark, text, n=n, cut=True).withColumn("n_hit", n_hit()).filter(F.col("n_hit") <= drop_share * F.col("n_words"))
+    clean = F.when(F.col("n_hit") > 0, F.col("clean")).otherwise(F.col(f"row.`{text}`"))
     return found.select(*[(clean if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.functions import arrow_udf
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -127,8 +126,18 @@ def spans(text: str) -> list[dict]:
 FOUND = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, found) for every document: its columns, whatever their names, and its spans. Null and empty texts have none."""
+def masked(text: str, found: list[dict]) -> str:
+    """Each span replaced by its kind in angle brackets; of overlapping spans the first names the whole."""
+    at, kept = 0, []
+    for s in found:
+        if s["start"] >= at:
+            kept += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    return "".join((*kept, text[at:]))
+
+
+def _searched(docs: DataFrame, text: str, mask: bool) -> DataFrame:
+    """(row, found), and with `mask` the masked text of the rows with spans: one pass, as a second would need a second worker a core."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,12 +145,23 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
             at = rows.type.get_field_index(text)
             for start in range(0, len(rows), 256):
                 part = rows.slice(start, 256)
-                found = [spans(t) if t else [] for t in part.flatten()[at].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part, pa.array(found, kind)], ["row", "found"])
+                texts = part.flatten()[at].to_pylist()
+                found = [spans(t) if t else [] for t in texts]
+                columns, names = [part, pa.array(found, kind)], ["row", "found"]
+                if mask:
+                    columns.append(pa.array([masked(t, f) if f else None for t, f in zip(texts, found)], pa.string()))
+                    names.append("masked")
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    return rows.mapInArrow(find, T.StructType([rows.schema["row"], T.StructField("found", T._parse_datatype_string(FOUND))]))
+    schema = T.StructType([rows.schema["row"], T.StructField("found", T._parse_datatype_string(FOUND))])
+    return rows.mapInArrow(find, schema.add("masked", T.StringType()) if mask else schema)
+
+
+def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(row, found) for every document: its columns, whatever their names, and its spans. Null and empty texts have none."""
+    return _searched(docs, text, False)
 
 
 def listed(found: Column) -> Column:
@@ -149,24 +169,8 @@ def listed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-@arrow_udf(T.StringType())
-def masked(texts: pa.Array, found: pa.Array) -> pa.Array:
-    """Each span replaced by its kind in angle brackets; of overlapping spans the first names the whole."""
-    out = []
-    for text, some in zip(texts.to_pylist(), found.to_pylist()):
-        if text and some:
-            at, kept = 0, []
-            for s in some:
-                if s["start"] >= at:
-                    kept += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
-                at = max(at, s["end"])
-            text = "".join((*kept, text[at:]))
-        out.append(text)
-    return pa.array(out, pa.string())
-
-
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with all personal data masked; no row is dropped."""
-    found = find_pii(docs, text)
-    clean = F.when(F.size("found") > 0, masked(F.col(f"row.`{text}`"), F.col("found"))).otherwise(F.col(f"row.`{text}`"))
+    found = _searched(docs, text, True)
+    clean = F.when(F.size("found") > 0, F.col("masked")).otherwise(F.col(f"row.`{text}`"))
     return found.select(*[(clean if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

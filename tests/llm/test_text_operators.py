@@ -263,6 +263,14 @@ def test_redact_masks_and_keeps_rows(spark):
     assert pii.find_pii(docs.limit(0)).count() == 0
 
 
+def test_cutting_and_masking_take_one_python_pass(spark):
+    docs = documents(spark, [(1, f"{prose(5, 12)} {prose(6, 30)}"), (2, "a.b@c.org")])
+    benchmark = spark.createDataFrame([(1, prose(5, 12))], "item_id long, text string")
+    for clean in (decontam.decontaminate(docs, benchmark), pii.redact(docs)):
+        plan = clean._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
 # --- packing ---
 
 
