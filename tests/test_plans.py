@@ -1,5 +1,6 @@
 """Properties of the physical plans that have to hold at any size."""
 
+import random
 import re
 import time
 
@@ -12,6 +13,7 @@ from invoicebench import rendering
 from invoicebench.queries import QUERIES
 from parcelmill.functions import patterns as p
 from parcelmill.functions.dictionaries import COUNTRY_ALIASES
+from parcelmill.operators import costs, dates, segmentation, service
 
 SF = "/root/testdata/sf0.001"
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -110,3 +112,20 @@ def test_pattern_of_blanks_takes_no_other_character_and_names_are_found_by_their
     folded = F.lower(F.translate("c", "\u017f\u0130\u0131\u212a", "siik"))
     for letter in sorted(set("".join(COUNTRY_ALIASES)) - {" "}):
         assert chars.filter(F.rlike("c", F.lit(f"(?iu)^{letter}$")) & (folded != letter)).count() == 0, letter
+
+
+def test_patterns_of_every_character_are_unions():
+    """Java 17 spends most of its time in the calls between the parts of a negated or intersected class."""
+    for pattern in (p.BLANK, p.NOT_BLANK, p.COST_ROW, dates.TEXTUAL, costs._WORD, service.SERVICE, segmentation._NEXT_START):
+        assert "[^" not in pattern and "&&" not in pattern
+
+
+def test_textual_dates_without_backtracking_are_the_same(spark):
+    day, word, blank = rf"{p.word_start('[0-9]')}[0-9]{{1,2}}", "[A-Za-zÄÖÜäöü]{3,12}", f"[{p.BLANK_SET}]*"
+    plain = rf"{day}[./-]?{blank}{word}\.?,?{blank}(?:[0-9]{{2,4}})?{p.BOUNDARY}"
+    draw = random.Random(7)
+    pieces = [*"0123456789./-,, \n\t 　AzMÄüß_é😀", "Mai", "September", "Benzinzuschlag", "12", "2025", "20251", " 3 ", "., "]
+    rows = [("".join(draw.choice(pieces) for _ in range(draw.randint(1, 30))),) for _ in range(20_000)]
+    found = [F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) for pattern in (plain, dates.TEXTUAL)]
+    counts = spark.createDataFrame(rows, "text string").select(F.count_if(found[0] != found[1]), F.sum(F.size(found[0]))).first()
+    assert counts[0] == 0 and counts[1] > 1000
