@@ -11,7 +11,7 @@ from parcelmill.operators.segmentation import segment
 from parcelmill.operators.service import with_service
 from parcelmill.operators.weights import with_weights
 from parcelmill.plans.shipments import extract_shipments
-from parcelmill.sources.invoice_json import invoice_json_lines, pack_invoice_json, read_invoice_json, write_invoice_json
+from parcelmill.sources.invoice_json import invoice_json_lines, pack_invoice_json, read_invoice_files, read_invoice_json, write_invoice_json
 from parcelmill.sources.pages import read_pages
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "normalize",
     "pack_invoice_json",
     "page_lines",
+    "read_invoice_files",
     "read_invoice_json",
     "read_pages",
     "rejected_values",

@@ -175,6 +175,37 @@ def test_invoices_of_one_document_name_share_its_array(spark, tmp_path):
     assert [[r["invoice_page"] for r in records] for records in read] == [[1, 2, 1, 2], [1, 2]]
 
 
+@pytest.mark.parametrize("through_arrow", [True, False])
+def test_documents_are_written_and_read_without_listing_all_of_them(spark, tmp_path, monkeypatch, through_arrow):
+    top = tmp_path / "a b%c"
+    names = [f"inv {i}" for i in range(60)] + ["x/y=1 %2F#?[é]", "a:b\"c'd\\e", "HOT"]
+    rows = [(name, page, f"1Z{page:09}A\nTransport 1,00 2,00") for name in names for page in range(1, 400 if name == "HOT" else 3)]
+    records = pm.extract_shipments(pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string")))
+    located = invoice_json._located
+    if not through_arrow:
+        monkeypatch.setattr(invoice_json, "_located", lambda spark, path: (path, None))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pm.write_invoice_json(records, str(top / "out"), str(top / "records"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (top / "out" / "_SUCCESS").exists()
+    small = [list(p.iterdir()) for p in (top / "out").iterdir() if p.name.startswith("document=inv")]
+    assert len(small) == 60 and (not through_arrow or all(len(files) < 3 for files in small))  # no side files
+    documents = spark.read.parquet(str(top / "records")).select(invoice_json.document_name().alias("document"))
+    read = lambda documents: sorted(map(tuple, pm.read_invoice_files(spark, str(top / "out"), documents).collect()))
+    want = sorted((r.document, r.line) for r in invoice_json._document_lines(records).collect())
+    assert len(want) == 399 + 2 * 62 and read(documents) == want
+    one = spark.createDataFrame([("HOT_extracted.json",), ("none",), (None,)], "document string")
+    assert read(one) == [x for x in want if x[0] == "HOT_extracted.json"]
+    assert sorted(map(tuple, spark.read.text(str(top / "out")).select("document", "value").collect())) == want
+    with pytest.raises(Exception, match="exist"):
+        pm.write_invoice_json(records, str(top / "out"))
+    monkeypatch.setattr(invoice_json, "_located", located)
+    pm.write_invoice_json(records.limit(0), f"file://{tmp_path}/empty")
+    assert pm.read_invoice_files(spark, f"file://{tmp_path}/empty", documents).count() == 0
+
+
 def test_dict_match_takes_keys_of_any_length_and_tables(spark):
     draw = random.Random(8)
     key = "".join(draw.choice("abcde ") for _ in range(200))
