@@ -145,6 +145,58 @@ def test_a_dictionary_of_100_000_entries(spark):
     assert all(r.match == f"v{r.id}" for r in got.collect())
 
 
+def _edited(draw, text, edits, letters):
+    for _ in range(edits):
+        at = draw.randrange(len(text))
+        text = text[:at] + draw.choice(["", draw.choice(letters) + text[at], draw.choice(letters)]) + text[at + 1 :]
+    return text
+
+
+@pytest.mark.parametrize("letters, hot", [("ab", 1024), ("abcdef é🙂", 1024), ("abc", 3)])
+def test_texts_that_segments_settle_match_as_in_blocks(spark, monkeypatch, letters, hot):
+    monkeypatch.setattr(matching, "HOT", hot)
+    draw = random.Random(len(letters))
+    keys = list(dict.fromkeys(draw.choice(["", "one same beginning "]) + w for w in _words(draw, 400, 8, 30, letters)))
+    keys += [_edited(draw, k, 2, letters) for k in keys[:150]]
+    texts = {_edited(draw, draw.choice(keys), n % 5, letters) for n in range(600)} | set(_words(draw, 50, 1, 30, letters))
+    texts = spark.createDataFrame([(t,) for t in texts if t], "text string")
+    entries = spark.createDataFrame([(k, f"v{i}", i) for i, k in enumerate(dict.fromkeys(k for k in keys if k))], "key string, value string, ord long")
+    got = matching.table_matches(texts, entries, "ratio", 80.0, "best")
+    want = matching._block_matches(texts, entries, "ratio", 80.0, "best")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_every_key_two_characters_away_is_found():
+    draw = random.Random(2)
+    probes = matching._probes()
+    for _ in range(3000):
+        key = "".join(draw.choice("abcd") for _ in range(draw.randint(10, 25)))
+        text = key
+        for _ in range(draw.randint(0, 2)):  # one character more or less
+            at = draw.randint(0, len(text))
+            text = text[:at] + draw.choice(["abcd"[draw.randrange(4)] + text[at:], text[at + 1 :]])
+        cut = sorted([0, len(key), *draw.sample(range(1, len(key)), 3)])
+        part = lambda s, i, at: s[cut[i] + at : cut[i + 1] + at]
+        assert any(
+            len(text) + delta == len(key) and part(text, i, at_i) == part(key, i, 0) and part(text, j, at_j) == part(key, j, 0)
+            for delta, i, j, at_i, at_j in probes
+        )
+    for m, cut in matching._cuts(["x" * m for m in range(10, 40)] + ["abc def 123456", "abd def 654321"] * 9):
+        assert len(cut) == 5 and cut[0] == 0 and cut[-1] == m and all(a < b for a, b in zip(cut, cut[1:]))
+
+
+def test_texts_near_a_key_do_not_meet_all_keys_of_their_length(spark, monkeypatch):
+    in_blocks, blocks = [], matching._block_matches
+    monkeypatch.setattr(matching, "_block_matches", lambda texts, *rest: in_blocks.append(sorted(r.text for r in texts.collect())) or blocks(texts, *rest))
+    entries = spark.range(3000).selectExpr("concat('large ring ', left(md5(cast(id as string)), 10)) as key", "concat('v', id) as value", "id as ord")
+    spelt = "case id % 3 when 0 then concat('l', substr(key, 3)) when 1 then concat(left(key, 17), 'z', right(key, 3)) else key end"
+    rows = entries.selectExpr("ord as id", "key").selectExpr("id", f"{spelt} as text")
+    rows = rows.unionByName(spark.createDataFrame([(-1, "large ring, none of them"), (-2, "part 7"), (-3, None)], "id long, text string"))
+    got = {r.id: r.match for r in pm.dict_match(rows, "text", entries, "ratio", 85.0, "best").collect()}
+    assert got == {i: f"v{i}" for i in range(3000)} | {-1: None, -2: None, -3: None}
+    assert in_blocks == [["large ring, none of them", "part 7"]]
+
+
 def test_empty_tables_match_nothing(spark):
     rows, table = spark.createDataFrame([("a",), (None,)], "text string"), spark.createDataFrame([], "key string, value string, ord int")
     assert [r.match for r in pm.dict_match(rows, "text", table).collect()] == [None, None]
