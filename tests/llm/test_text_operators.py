@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +197,46 @@ def test_runs_of_one_document_do_not_meet(spark, monkeypatch):
     assert runs.select("part").distinct().count() > 300
 
 
+def test_texts_move_once(spark, monkeypatch, capsys):
+    """Texts are most of what the job could keep on disk: one exchange may carry them, all later steps take them from there."""
+    plans = []
+
+    def seen(keep):
+        def write(df, *args):
+            df.explain("formatted")
+            plans.append(capsys.readouterr().out)
+            return keep(df, *args)
+
+        return write
+
+    for name in ("stored", "bucketed"):
+        if hasattr(suffix_dedup, name):
+            monkeypatch.setattr(suffix_dedup, name, seen(getattr(suffix_dedup, name)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        suffix_dedup.remove_repeats(documents(spark, repeat_rows())).explain("formatted")
+        plans.append(capsys.readouterr().out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moves = [len(re.findall(r"\) Exchange\nInput \[\d+\]: \[.*\btext#", plan)) for plan in plans]
+    assert sum("SortMergeJoin" in plan for plan in plans) > 2 and sum(moves) == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("parcelmill_")]
+
+
+def test_packed_texts_come_back_slice_by_slice(spark, monkeypatch):
+    texts = ["", "é" * 150, prose(1, 40), "x" * 5000, "", "a\0b", prose(2, 30)]
+    schema = "id long, tk long, text string"
+    packed = suffix_dedup._packed(spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], schema).coalesce(1)).toArrow()
+    column = packed.sort_by("id").column("text").combine_chunks()
+    monkeypatch.setattr(suffix_dedup.bytetext, "SLICE_BYTES", 400)
+    for first in (0, 2):
+        slices = list(suffix_dedup._slices(column[first:]))
+        assert len(slices) > 2 and [row for row, _, _ in slices] == [0, *accumulate(len(at) - 1 for _, at, _ in slices)][:-1]
+        assert [data[a:b].tobytes().decode() for _, at, data in slices for a, b in zip(at[:-1], at[1:])] == texts[first:]
+    assert list(suffix_dedup._slices(column[:0])) == []
+
+
 def test_repeats_of_an_empty_table(spark):
     assert suffix_dedup.remove_repeats(documents(spark, []), "doc_id").count() == 0
 
