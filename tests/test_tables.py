@@ -1,4 +1,5 @@
 import datetime
+import glob
 import json
 import os
 import random
@@ -304,3 +305,28 @@ def test_rejected_values_are_listed_and_records_stay(spark):
                    (1, "shipment_date", 0, "soon"), (1, "total_cost_in_shipment_currency", 2, "-")]
     assert pm.normalize(raw).count() == 3
     assert pm.rejected_values(raw.select("id"), ["id"]).count() == 0
+
+
+def test_stored_records_move_once_and_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(invoice_json, "RECORDS_PER_PART", 20)
+    rows = [(f"inv {i % 40}", i, f"1Z{i:010}\nTransport 1,00 2,00") for i in range(400)] + [("long", i, f"1Z{i:010}") for i in range(200)]
+    pages = pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string"))
+    records = pm.extract_shipments(pages)
+    want = sorted((r.document, r.line) for r in invoice_json._document_lines(records).collect())
+    lines = invoice_json._sorted_lines(records, str(tmp_path / "records"))
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    # One exchange is that of the ends of a document, whose rows are keys only.
+    assert text.count("rangepartitioning") == 1 and text.count("hashpartitioning") == 1 and "SortMergeJoin" not in text and "HashJoin" not in text
+    assert lines.rdd.getNumPartitions() == 30
+    assert sorted((r.document, r.line) for r in lines.collect()) == want
+    keys = [tuple(r)[:4] for r in lines.collect()]
+    assert keys == sorted(keys)
+
+    def shuffle_files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {p for top in manager.localDirs() for p in glob.glob(f"{top.getPath()}/**/shuffle_*", recursive=True)}
+
+    held = shuffle_files()
+    pm.pack_invoice_json(records, str(tmp_path / "packed"), str(tmp_path / "again"))
+    pm.write_invoice_json(records, str(tmp_path / "files"), str(tmp_path / "more"))
+    assert shuffle_files() - held == set()
