@@ -307,6 +307,25 @@ def test_rejected_values_are_listed_and_records_stay(spark):
     assert pm.rejected_values(raw.select("id"), ["id"]).count() == 0
 
 
+def test_a_document_of_any_length_is_read_in_arrays_of_its_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(invoice_json, "SEGMENT_CHARS", 200)
+    monkeypatch.setattr(invoice_json, "ARRAY_CHARS", 2000)
+    sizes = {"long": 500, "middle": 30, "small": 1}
+    lines = [
+        (name, name, page, 1, ("[" if page == 1 else ",") + json.dumps({"page": page, "s": "[]"}) + ("]" if page == n else ""))
+        for name, n in sizes.items() for page in range(1, n + 1)
+    ]
+    batches = [pa.RecordBatch.from_pylist([dict(zip("vwxyz", row)) for row in lines])]
+    rows = [tuple(row.values()) for batch in invoice_json._segments(batches) for row in batch.to_pylist()]
+    spark.createDataFrame(rows, invoice_json._PACKED).write.parquet(str(tmp_path / "packed"))
+    read = pm.read_invoice_json(spark, str(tmp_path / "packed")).orderBy("document", "part").collect()
+    long = [r for r in read if r.document == "long"]
+    assert len(long) > 5 and [r.part for r in long] == list(range(1, len(long) + 1)) and max(len(r.json) for r in long) < 2500
+    assert [record["page"] for r in long for record in json.loads(r.json)] == list(range(1, 501))
+    assert {r.document: [record["page"] for record in json.loads(r.json)] for r in read if r.document != "long"} == {"middle": list(range(1, 31)), "small": [1]}
+    assert len(read) == len(long) + 2 and len([r for r in rows if r[0] == "middle"]) > 3
+
+
 def test_stored_records_move_once_and_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(invoice_json, "RECORDS_PER_PART", 20)
     rows = [(f"inv {i % 40}", i, f"1Z{i:010}\nTransport 1,00 2,00") for i in range(400)] + [("long", i, f"1Z{i:010}") for i in range(200)]
