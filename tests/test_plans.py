@@ -129,3 +129,10 @@ def test_textual_dates_without_backtracking_are_the_same(spark):
     found = [F.regexp_extract_all("text", F.lit(pattern), F.lit(0)) for pattern in (plain, dates.TEXTUAL)]
     counts = spark.createDataFrame(rows, "text string").select(F.count_if(found[0] != found[1]), F.sum(F.size(found[0]))).first()
     assert counts[0] == 0 and counts[1] > 1000
+
+
+def test_case_is_folded_with_a_search_for_the_long_s_before_its_replacement(spark):
+    chars = spark.createDataFrame([(f"aſ{chr(n)}S",) for n in range(1, 0x10000) if not 0xD800 <= n < 0xE000], "c string")
+    folded = chars.select("c", p.fold_case(F.col("c")).alias("low"))
+    assert "Contains(" in plan(folded)
+    assert folded.filter(F.col("low") != F.replace(F.lower("c"), F.lit("ſ"), F.lit("s"))).count() == 0
