@@ -349,3 +349,16 @@ def test_stored_records_move_once_and_leave_no_shuffle_files(spark, tmp_path, mo
     pm.pack_invoice_json(records, str(tmp_path / "packed"), str(tmp_path / "again"))
     pm.write_invoice_json(records, str(tmp_path / "files"), str(tmp_path / "more"))
     assert shuffle_files() - held == set()
+
+
+def test_lines_of_stored_records_are_computed_once_and_move_once(spark, tmp_path):
+    rows = [(f"inv {i % 20}{'.pdf' * (i % 2)}", i, f"1Z{i:010}\nTransport 1,00 2,00") for i in range(60)] + [("long", i, f"1Z{i:010}") for i in range(100)]
+    records = pm.extract_shipments(pm.sources.pages.as_pages(spark.createDataFrame(rows, "invoice_id string, page_num int, text string")))
+    lines = pm.invoice_json_lines(records, str(tmp_path / "records"))
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "ArrowEvalPython" not in text and text.count("FileScan") == 2
+    assert sorted(map(tuple, lines.collect())) == sorted(map(tuple, pm.invoice_json_lines(records).collect()))
+    arrays = {}
+    for r in sorted(lines.collect()):
+        arrays.setdefault(r.invoice_id.replace(".pdf", ""), []).append(r.line)
+    assert len(arrays) == 21 and sum(len(json.loads("".join(array))) for array in arrays.values()) == 160
